@@ -24,7 +24,7 @@ BRANDS = ("acme", "akme")
 VISITS = (
     ("/", None, None, None, None),
     (None, None, None, None, None),
-    ("/p/3?utm_source=klaviyo&utm_medium=email&utm_campaign=spring", None, None, None, None),
+    ("/p/3?utm_source=klaviyo&utm_medium=email&utm_campaign=spring%20sale+x", None, None, None, None),
     ("/p/1", None, "klaviyo", "email", "letter"),
     ("/p/2?utm_source=google&utm_medium=cpc&utm_campaign=brand", "https://www.google.com/", None, None, None),
     ("/p/12", None, "google", "pmx", "all"),
