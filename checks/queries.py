@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.functions.channels import channel
+from martloom.functions.channels import with_channel
 from martloom.plans import central, leasing, quality, search, shop
 from martloom.session import use_utc
 from martloom.sources.given import BRANDS, EPOCH, OWN_URL, SHOP_DAY, SHOP_NOW, Given
@@ -64,7 +64,8 @@ def ec_channel_roi(g: Given) -> DataFrame:
 
 def _channels(g: Given, variant: str) -> DataFrame:
     return (
-        g.orders.groupBy(channel(variant).alias("channel"))
+        with_channel(g.orders, variant)
+        .groupBy("channel")
         .agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("order_id").alias("orders"))
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import utm
@@ -63,16 +63,22 @@ RULE_SETS = {
 }
 
 
-def channel(variant: str) -> Column:
-    """Channel label from utm_source, utm_medium, landing_site and referring_site; first match wins."""
+def with_channel(df: DataFrame, variant: str, name: str = "channel") -> DataFrame:
+    """Add the channel label from utm_source, utm_medium, landing_site and referring_site.
+
+    The tags are read from the landing page once, in a projection of their own: inside the CASE every
+    branch would run the pattern again.
+    """
     rules = RULE_SETS[variant]
     pick = utm.resolved if rules.use_landing else F.col
-    source, medium = pick("utm_source"), pick("utm_medium")
-    referrer = F.col("referring_site")
-    if rules.organic_uses_landing:
-        untagged_source, untagged_medium = source.isNull(), medium.isNull()
-    else:
-        untagged_source, untagged_medium = F.col("utm_source").isNull(), F.col("utm_medium").isNull()
+    tagged = df.withColumns({"_source": pick("utm_source"), "_medium": pick("utm_medium")})
+    return tagged.withColumn(name, _label(rules)).drop("_source", "_medium")
+
+
+def _label(rules: RuleSet) -> Column:
+    source, medium, referrer = F.col("_source"), F.col("_medium"), F.col("referring_site")
+    prefix = "_" if rules.organic_uses_landing else "utm_"
+    untagged_source, untagged_medium = F.col(f"{prefix}source").isNull(), F.col(f"{prefix}medium").isNull()
 
     cases = [(source == EMAIL[0], EMAIL[1])]
     cases += [(source.isin(*r.sources) & medium.isin(*r.mediums), r.label) for r in rules.paid]

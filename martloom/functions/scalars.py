@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 TOKYO = "Asia/Tokyo"
 
 
+def once(x: Column) -> Column:
+    """x, evaluated once per row. For a costly expression (a parsed document) that later filters and columns
+    refer to: the optimizer copies those into the filters it pushes down, but not through a generator.
+    Use as the whole column of a select."""
+    return F.explode(F.array(x))
+
+
 def ratio(num: Column, den: Column) -> Column:
     """num / den as double; null when den is 0 or either side is null."""
     return F.try_divide(num.cast("double"), den.cast("double"))

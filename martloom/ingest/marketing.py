@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martloom.functions.scalars import (
     blank_to_null,
     number,
+    once,
     ratio,
     round_at,
     to_int_half_away,
@@ -20,6 +21,7 @@ from martloom.functions.scalars import (
 from martloom.ingest.shop import run_stamp
 from martloom.operators.joins import newest_before
 from martloom.operators.keyed import latest_wins
+from martloom.operators.skew import SALT, spread_hot_keys
 
 # ---- fixed values: report headers in upper-case letters and digits ----
 AD_HEADERS = {
@@ -240,10 +242,12 @@ def ad_report_with_preamble(lines: DataFrame, run_at: dt.datetime) -> DataFrame:
         .agg(F.min(F.struct("pos", "line")).alias("h"))
         .select("file", F.col("h.pos").alias("header_pos"), F.transform(_fields(F.col("h.line")), F.lower).alias("header"))
     )
+    # one file may hold most of the lines
+    spread, headers = spread_hot_keys(lines, headers, ["file"], ["pos"])
     cells = (
-        lines.join(headers, "file")
+        spread.join(headers, ["file", SALT])
         .filter((F.col("pos") > F.col("header_pos")) & (F.trim("line") != ""))
-        .select("header", _fields(F.col("line")).alias("cells"))
+        .select("header", once(_fields(F.col("line"))).alias("cells"))
     )
     named = cells.select(
         *[

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martloom.functions.scalars import once
+
 ORDER = """
 id string, name string, created_at string, email string, customer struct<id: string, email: string>,
 financial_status string, total_price string, subtotal_price string, total_discounts string, total_tax string,
@@ -67,7 +69,7 @@ SEARCH_ROWS = "rows array<struct<keys: array<string>, clicks: double, impression
 def parse(df: DataFrame, schema: str, text: str = "body") -> DataFrame:
     """Replace a JSON text column by its fields."""
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.from_json(text, schema).alias("_p")).select(*others, "_p.*")
+    return df.select(*others, once(F.from_json(text, schema)).alias("_p")).select(*others, "_p.*")
 
 
 def read_json(spark: SparkSession, path: str, schema: str, one_per_file: bool = False) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions import utm
-from martloom.functions.scalars import blank_to_null, last_segment, number, to_int_half_even, to_int_half_up
+from martloom.functions.scalars import blank_to_null, last_segment, number, once, to_int_half_even, to_int_half_up
 from martloom.ingest.payloads import STOCK_FIELDS, STOCK_ITEM
 from martloom.operators.keyed import latest_wins
+from martloom.operators.skew import SALT, spread_hot_keys
 
 # ---- fixed values ----
 DEFAULT_CURRENCY = "JPY"
@@ -139,9 +140,10 @@ def orders_from_bulk(rows: DataFrame, run_at: dt.datetime) -> DataFrame:
         .agg(F.min(F.struct("seq", "createdAt", "note")).alias("refund"))
     )
     refunded = F.col("refund").isNotNull()
+    heads = heads.join(refunds, "order_gid", "left")
+    lines, heads = spread_hot_keys(lines, heads, ["order_gid"], ["line_item_id"])
     return (
-        lines.join(heads, "order_gid")
-        .join(refunds, "order_gid", "left")
+        lines.join(heads, ["order_gid", SALT])
         .select(
             last_segment(F.col("order_gid")).alias("order_id"),
             "order_name",
@@ -211,8 +213,9 @@ def stock_snapshot(bodies: DataFrame, snapshot_date: dt.date, run_at: dt.datetim
     )
     count = lambda f: number(F.col(f"i.stock.{f}")).cast("long").alias(f)
     return (
-        bodies.select(F.explode(items).alias("raw_payload"))
-        .withColumn("i", F.from_json("raw_payload", STOCK_ITEM))
+        bodies.select(once(items).alias("items"))
+        .select(F.explode("items").alias("raw_payload"))
+        .select("raw_payload", once(F.from_json("raw_payload", STOCK_ITEM)).alias("i"))
         .select(
             F.lit(snapshot_date).alias("snapshot_date"),
             F.coalesce(F.col("i.id"), F.lit("")).alias("item_id"),

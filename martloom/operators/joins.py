@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.operators.skew import SALT, spread_hot_keys
+
 
 def point_in_time(
     facts: DataFrame,
@@ -19,16 +21,22 @@ def point_in_time(
     day: str,
     bring: Sequence[str],
     how: str = "left",
+    spread: Sequence[str] = (),
 ) -> DataFrame:
     """Columns of the master row of the same key that is valid on the fact's day.
 
     Hash join on the key with the period as residual condition. Overlapping periods multiply rows.
+    spread: columns by which the facts of a hot key are dealt out (facts that were not summed before).
     """
-    side = master.select(
-        F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *bring
-    )
-    on = (F.col(key) == F.col("_key")) & F.col(day).between(F.col("_from"), F.col("_to"))
-    return facts.join(side, on, how).drop("_key", "_from", "_to")
+    side = master.select(key, F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *bring)
+    salted = F.lit(True)
+    if spread:
+        facts, side = spread_hot_keys(facts, side, [key], spread)
+        side = side.withColumnRenamed(SALT, "_side_salt")
+        salted = F.col(SALT) == F.col("_side_salt")
+    side = side.withColumnRenamed(key, "_key")
+    on = (F.col(key) == F.col("_key")) & salted & F.col(day).between(F.col("_from"), F.col("_to"))
+    return facts.join(side, on, how).drop("_key", "_from", "_to", SALT, "_side_salt")
 
 
 def valid_on(facts: DataFrame, rules: DataFrame, day: str, bring: Sequence[str]) -> DataFrame:
@@ -94,8 +102,6 @@ def newest_before(
     The versions of a key are first turned into the periods in which they are the newest one, so the
     facts meet at most one version and need no ranking after the join.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(key).orderBy(version_day)
     one_a_day = versions.groupBy(key, version_day).agg(F.max(F.struct(*bring)).alias("_v"))
     periods = one_a_day.select(

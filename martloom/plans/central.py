@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.channels import channel
+from martloom.functions.channels import with_channel
 from martloom.functions.scalars import pct, ratio, round_at, week_start
 from martloom.plans.shop import AD_CHANNELS, ad_cost_feed
 
@@ -50,7 +50,7 @@ def ec_ad_performance(
 def refunds_by_channel_and_sku(orders: DataFrame) -> DataFrame:
     """Lines, refunded lines and refund rate per channel and SKU."""
     return (
-        orders.withColumn("channel", channel("roi"))
+        with_channel(orders, "roi")
         .groupBy("channel", "sku")
         .agg(F.count(F.lit(1)).alias("lines"), F.count_if("is_refunded").alias("refunds"))
         .withColumn("refund_rate_pct", pct(F.col("refunds"), F.col("lines")))
@@ -62,7 +62,7 @@ def effective_roas(
 ) -> DataFrame:
     """Return on ad cost per channel after refunds."""
     sales = (
-        orders.withColumn("channel", channel("roi"))
+        with_channel(orders, "roi")
         .groupBy("channel")
         .agg(
             F.sum("total_price").alias("revenue"),

@@ -20,6 +20,7 @@ from martloom.functions.scalars import (
     url_path,
 )
 from martloom.operators.joins import prefix_totals
+from martloom.operators.skew import SALT, spread_hot_keys
 
 # ---- fixed values ----
 CONVERSION_RATE = 0.015
@@ -75,7 +76,10 @@ def ec_search_to_purchase(
     )
     matched_orders = F.coalesce(F.col("matched_orders"), F.lit(0))
     matched_revenue = F.coalesce(F.col("matched_revenue"), F.lit(0))
-    return searched.join(under, ["year_month", "sc_path"], "left").select(
+    # the queries of one page may be a large share of the history; page totals come out of an aggregation
+    keys = ["year_month", "sc_path"]
+    spread, totals = spread_hot_keys(searched, under, keys, ["sc_query"], key_source=paths)
+    return spread.join(totals, [*keys, SALT], "left").select(
         "year_month",
         "sc_query",
         "sc_path",

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.functions.channels import channel
+from martloom.functions.channels import with_channel
 from martloom.functions.scalars import (
     days_before,
     growth_pct,
@@ -24,6 +24,7 @@ from martloom.functions.utm import resolved
 from martloom.operators.joins import list_days, point_in_time, valid_on
 from martloom.operators.periods import value_periods
 from martloom.operators.quantiles import histogram_quartiles
+from martloom.operators.skew import SALT, spread_hot_keys
 
 # ---- fixed values ----
 COST_EPOCH = dt.date(2020, 1, 1)
@@ -87,7 +88,7 @@ def ec_daily_pnl(orders: DataFrame, cost_master: DataFrame, shipping_rules: Data
     lines = orders.select(
         "order_date", "order_id", "sku", "quantity", "unit_price", "total_price", "is_refunded", "refund_amount"
     )
-    costed = point_in_time(lines, cost_master, "sku", "order_date", ["cost_price"])
+    costed = point_in_time(lines, cost_master, "sku", "order_date", ["cost_price"], spread=["order_id"])
     charged = valid_on(costed, shipping_rules, "order_date", ["shipping_fee_per_order"])
     total_cost = F.col("cost_price") * F.col("quantity")
     gross = F.col("total_price") - total_cost
@@ -137,8 +138,7 @@ def ec_channel_roi(
         "utm_source", "utm_medium", "landing_site", "referring_site",
     ]
     sales = (
-        _basis(orders, revenue_basis, columns)
-        .withColumn("channel", channel("roi"))
+        with_channel(_basis(orders, revenue_basis, columns), "roi")
         .groupBy(F.col("order_date").alias("date"), "channel")
         .agg(
             F.count_distinct("order_id").alias("orders"),
@@ -164,23 +164,6 @@ def ec_channel_roi(
     )
 
 
-def _visits(orders: DataFrame, variant: str, keep: list) -> DataFrame:
-    """One row per order and visit, lines summed up. Text only occurs in the grouping key, which keeps
-    the aggregation in a hash table instead of a sort."""
-    return (
-        orders.filter(_has_email())
-        .withColumn("channel", channel(variant))
-        .withColumn("campaign", resolved("utm_campaign"))
-        .groupBy("customer_email", "order_id", "order_date", "channel", *keep)
-        .agg(
-            F.sum("total_price").alias("revenue"),
-            F.max("total_price").alias("order_total"),
-            F.count("total_price").alias("priced_lines"),
-            F.count_if(F.col("tags").contains(GIFT_TAG)).alias("gift_lines"),
-        )
-    )
-
-
 def ec_customer_profile(
     orders: DataFrame, as_of: dt.date, generated_at: dt.datetime | None = None, revenue_basis: str = "line"
 ) -> DataFrame:
@@ -193,24 +176,25 @@ def ec_customer_profile(
         .groupBy("customer_email")
         .agg(F.min(F.struct(-F.col("n"), "sku")).getField("sku").alias("favorite_sku"))
     )
-    money = F.sum("revenue"), F.sum("priced_lines")
+    per_line = with_channel(orders.filter(_has_email()), "profile")
+    touch = F.struct("order_date", "order_id", "channel")
+    customers = per_line.groupBy("customer_email").agg(
+        F.max("customer_id").alias("customer_id"),
+        F.min(touch).alias("first"),
+        F.max(touch).alias("last"),
+        F.count_distinct("order_id").alias("total_orders"),
+        F.sum("total_price").alias("total_revenue"),
+        F.count("total_price").alias("_priced"),
+        F.count_if(F.col("tags").contains(GIFT_TAG)).alias("gift_purchase_count"),
+    )
     if revenue_basis == "order":
-        money = F.sum("order_total"), F.count("order_total")
+        once = one_row_per_order(orders.select("order_id", "customer_email", "total_price"))
+        totals = once.groupBy("customer_email").agg(
+            F.sum("total_price").alias("total_revenue"), F.count("total_price").alias("_priced")
+        )
+        customers = customers.drop("total_revenue", "_priced").join(totals, "customer_email", "left")
     elif revenue_basis != "line":
         raise ValueError(f"revenue_basis is 'line' or 'order', not {revenue_basis!r}")
-    customers = (
-        _visits(orders, "profile", ["customer_id"])
-        .groupBy("customer_email")
-        .agg(
-            F.max("customer_id").alias("customer_id"),
-            F.min(F.struct("order_date", "order_id", "channel")).alias("first"),
-            F.max(F.struct("order_date", "order_id", "channel")).alias("last"),
-            F.count_distinct("order_id").alias("total_orders"),
-            money[0].alias("total_revenue"),
-            money[1].alias("_priced"),
-            F.sum("gift_lines").alias("gift_purchase_count"),
-        )
-    )
     idle = F.date_diff(F.lit(as_of), F.col("last.order_date")).cast("long")
     return customers.join(favorite, "customer_email", "left").select(
         "customer_email",
@@ -237,7 +221,8 @@ def ec_attribution_first_last(orders: DataFrame, generated_at: dt.datetime | Non
     touch = F.struct("order_date", "order_id", "channel")
     tagged = F.when(F.col("campaign").isNotNull(), F.struct("order_date", "order_id", "campaign"))
     customers = (
-        _visits(orders, "attribution", ["campaign"])
+        with_channel(orders.filter(_has_email()), "attribution")
+        .withColumn("campaign", resolved("utm_campaign"))
         .groupBy("customer_email")
         .agg(
             F.min(touch).alias("first"),
@@ -273,20 +258,17 @@ def ec_cohort_ltv(
     orders: DataFrame, generated_at: dt.datetime | None = None, revenue_basis: str = "line"
 ) -> DataFrame:
     """Retention and cumulative revenue per month of first purchase. Months without orders are absent."""
-    monthly = (
-        _basis(orders, revenue_basis, ["customer_email", "order_date", "order_id", "total_price"])
-        .filter(_has_email())
-        .groupBy("customer_email", month_start(F.col("order_date")).alias("month"), "order_id")
-        .agg(F.sum("total_price").alias("revenue"))
+    bought = _basis(orders, revenue_basis, ["customer_email", "order_date", "order_id", "total_price"]).filter(
+        _has_email()
     )
-    joined = (
-        orders.filter(_has_email())
-        .groupBy("customer_email")
-        .agg(month_start(F.min("order_date")).alias("cohort_month"))
+    monthly = bought.groupBy("customer_email", month_start(F.col("order_date")).alias("month"), "order_id").agg(
+        F.sum("total_price").alias("revenue")
     )
-    sizes = joined.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    active = (
-        monthly.join(joined, "customer_email")
+    joined = bought.groupBy("customer_email").agg(month_start(F.min("order_date")).alias("cohort_month"))
+    # a customer may hold a large share of the orders; both sides come out of aggregations
+    spread, cohorts = spread_hot_keys(monthly, joined, ["customer_email"], ["order_id"], key_source=orders)
+    cells = (
+        spread.join(cohorts, ["customer_email", SALT])
         .groupBy(
             "cohort_month",
             months_between_starts(F.col("month"), F.col("cohort_month")).alias("months_since_first"),
@@ -297,11 +279,15 @@ def ec_cohort_ltv(
             F.sum("revenue").alias("month_revenue"),
         )
     )
-    so_far = Window.partitionBy("cohort_month").orderBy("months_since_first")
+    # from here on one row per pair of months
+    cohort = Window.partitionBy("cohort_month")
+    so_far = cohort.orderBy("months_since_first")
+    at_start = F.when(F.col("months_since_first") == 0, F.col("active_customers"))
     return (
-        active.withColumn("cumulative_orders", F.sum("month_orders").over(so_far))
+        cells.withColumn("cumulative_orders", F.sum("month_orders").over(so_far))
         .withColumn("cumulative_revenue", F.sum("month_revenue").over(so_far))
-        .join(sizes, "cohort_month")
+        # everybody of a cohort buys in its first month
+        .withColumn("cohort_size", F.max(at_start).over(cohort))
         .select(
             "cohort_month",
             "months_since_first",
@@ -430,22 +416,30 @@ def ec_sku_trend(orders: DataFrame, cost_master: DataFrame, generated_at: dt.dat
     year_month = month_start(F.col("order_date")).alias("year_month")
     monthly = (
         point_in_time(daily, cost_master, "sku", "order_date", ["cost_price"])
-        .groupBy(year_month, "sku")
+        # with the title in the key this stays a hash aggregation; the few rows left decide the title
+        .groupBy(year_month, "sku", "sku_title")
+        .agg(
+            F.sum("units").alias("units"),
+            F.sum("revenue").alias("revenue"),
+            F.sum(F.coalesce(F.col("cost_price"), F.lit(0)) * F.col("units")).alias("cost"),
+        )
+        .groupBy("year_month", "sku")
         .agg(
             F.min("sku_title").alias("sku_title"),
             F.sum("units").alias("units_sold"),
             F.sum("revenue").alias("revenue"),
-            F.sum(F.coalesce(F.col("cost_price"), F.lit(0)) * F.col("units")).alias("total_cost"),
+            F.sum("cost").alias("total_cost"),
         )
     )
-    buyers = lines.groupBy(year_month, "sku").agg(F.count_distinct("customer_email").alias("unique_customers"))
+    # windows before the next join: the rows are still together by SKU
     w = Window.partitionBy("sku").orderBy("year_month")
     last3 = w.rowsBetween(-3, -1)
+    buyers = lines.groupBy(year_month, "sku").agg(F.count_distinct("customer_email").alias("unique_customers"))
     grown = (
-        monthly.join(buyers, ["sku", "year_month"])
-        .withColumn("previous", F.lag("revenue").over(w))
+        monthly.withColumn("previous", F.lag("revenue").over(w))
         .withColumn("year_ago", F.lag("revenue", 12).over(w))
         .withColumn("usual", mean_of(F.sum("revenue").over(last3), F.count("revenue").over(last3)))
+        .join(buyers, ["sku", "year_month"])
     )
     return grown.select(
         "year_month",
