@@ -98,8 +98,7 @@ def ingest_orders_rest(g: Given) -> DataFrame:
     return shop.orders_from_rest(payloads.parse(order_payloads(g), payloads.ORDER), RUN).select(*ORDER_COLUMNS)
 
 
-@query
-def ingest_orders_bulk(g: Given) -> DataFrame:
+def bulk_documents(g: Given) -> DataFrame:
     """The mixed export: every order, line and refund is a document of its own."""
     gid = lambda kind, k: F.concat(F.lit(f"gid://shop/{kind}/"), k)
     yen = lambda c: F.struct(F.struct(_s(c).alias("amount")).alias("shopMoney"))
@@ -151,7 +150,12 @@ def ingest_orders_bulk(g: Given) -> DataFrame:
             )
         ).alias("body"),
     )
-    rows = payloads.parse(heads.unionByName(lines).unionByName(refunds), payloads.BULK)
+    return heads.unionByName(lines).unionByName(refunds)
+
+
+@query
+def ingest_orders_bulk(g: Given) -> DataFrame:
+    rows = payloads.parse(bulk_documents(g), payloads.BULK)
     return shop.orders_from_bulk(rows, RUN).select(
         "order_id", "order_name", "order_date", "customer_id", "customer_email", "financial_status", "total_price",
         "line_item_id", "product_id", "sku", "quantity", "unit_price", "line_discount", "is_refunded", "refund_date",

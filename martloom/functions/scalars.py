@@ -61,7 +61,7 @@ def to_int_half_away(x: Column) -> Column:
 
 def number(x: Column) -> Column:
     """Text to double, null when it is not a number; thousands separators are dropped."""
-    return F.regexp_replace(x, ",", "").try_cast("double")
+    return F.replace(x, F.lit(","), F.lit("")).try_cast("double")
 
 
 def blank_to_null(x: Column) -> Column:
