@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martloom.functions.scalars import iso_z
+
 
 def latest_wins(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[str] | None = None) -> DataFrame:
     """One row per key, the one with the newest stamp. Equal stamps are decided by the remaining columns
@@ -21,6 +23,12 @@ def latest_wins(df: DataFrame, keys: Sequence[str], newest: str, ties: Sequence[
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def high_water_mark(existing: DataFrame, column: str, default: str) -> DataFrame:
+    """One row, one column "since": the highest stored stamp as ISO text, for the fetcher of the next payloads."""
+    highest = F.coalesce(F.max(column), F.lit(default).cast("timestamp"))
+    return existing.agg(iso_z(highest).alias("since"))
+
+
 def since_mark(
     incoming: DataFrame, existing: DataFrame, column: str, default: str, inclusive: bool, existing_column: str | None = None
 ) -> DataFrame:

@@ -52,6 +52,8 @@ def latest_state_stream(
 
     Batch n builds version n + 1 from the newest version below it and its own rows. A retried batch
     starts from the same version again and overwrites its own result, hence the outcome is the same.
+    Every batch writes the whole state once, so leave files_per_batch open and let one run take all that
+    has arrived; a state too large for that is better kept by append_stream and latest_wins on reading.
     """
     spark = payloads.sparkSession
 

@@ -21,7 +21,7 @@ from martloom.functions.scalars import (
     week_start,
 )
 from martloom.operators.joins import list_days, newest_before, point_in_time, prefix_totals, valid_on
-from martloom.operators.keyed import between_stamps, latest_wins, since_mark, upsert
+from martloom.operators.keyed import between_stamps, high_water_mark, latest_wins, since_mark, upsert
 from martloom.operators.periods import overlaps, value_periods
 from martloom.operators.quantiles import histogram_quartiles
 from martloom.operators.skew import SALT, hot_keys, spread_hot_keys
@@ -163,6 +163,8 @@ def test_marks(spark):
     assert rows(since_mark(incoming, stored, "at", "2020-01-01", True), "n") == [(2,), (3,)]
     assert rows(since_mark(incoming, stored, "at", "2020-01-01", False), "n") == [(3,)]
     assert since_mark(incoming, stored.limit(0), "at", "2020-01-01", True).count() == 3
+    assert high_water_mark(stored, "at", "2020-01-01").first().since == "2024-01-03T00:00:00Z"
+    assert high_water_mark(stored.limit(0), "at", "2020-01-01").first().since == "2020-01-01T00:00:00Z"
     chunk = between_stamps(incoming, "at", F.lit("2024-01-02").cast("timestamp"), F.lit("2024-01-04").cast("timestamp"))
     assert rows(chunk, "n") == [(2,)]
 
