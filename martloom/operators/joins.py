@@ -77,7 +77,12 @@ def prefix_totals(
     the month's prefixes and the pieces are summed. Summing combines before the shuffle, so a prefix
     that matches everything ("/") costs one row per task.
     """
-    lengths = prefixes.groupBy(month).agg(F.collect_set(F.length(prefix)).alias("_lengths"))
+    lengths = (
+        prefixes.select(month, F.length(prefix).alias("_length"))
+        .distinct()
+        .groupBy(month)
+        .agg(F.collect_list("_length").alias("_lengths"))
+    )
     cut = (
         # one row per calendar month, with at most as many lengths as the longest URL has characters
         texts.join(F.broadcast(lengths), month)
