@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from martloom.llm.decontaminate import OP3_SQL, op3_decontaminate
 from martloom.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from martloom.llm.licenses import op7_licenses
 from martloom.llm.mixing import OP6_SQL, op6_mix_sources
+from martloom.llm.secrets import op1_secrets
 from martloom.llm.simhash import op10_simhash
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_exact_dedup, op6_mix_sources, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_secrets, op3_decontaminate, op4_exact_dedup, op6_mix_sources, op7_licenses, op10_simhash)}
 
 ORACLE = {"op3_decontaminate": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op6_mix_sources": OP6_SQL}
