@@ -24,16 +24,24 @@ def remainder(id_col: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % n
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared folder of spark.checkpoint.dir and read from there by everything after.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, made the checkpoint folder of the session if none is.
 
-    Cuts the lineage so that a lost executor costs no recomputation, and keeps later steps from running earlier ones
-    twice. Where no folder is set, one beside the tables is (the warehouse is shared as well).
+    Where the setting is missing, as in some tests, it is one beside the tables: the warehouse is shared as well.
     """
-    spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
         spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir()
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read from there by everything after.
+
+    Cuts the lineage so that a lost executor costs no recomputation, and keeps later steps from running earlier ones
+    twice.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
