@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martloom.llm.text import SPACES, documents, saved
 
-ROWS_PER_RANGE = 20_000  # mean rows of a range; ranges are as even as the hash
+ROWS_PER_RANGE = 2_000  # mean rows of a range; ranges are as even as the hash
 BROADCAST_SOURCES = 100_000  # a plan of at most so many rows is broadcast; a longer one is joined by shuffle
 
 
