@@ -26,12 +26,12 @@ WINDOW = 32  # steps of backpropagation and of scoring at a time
 STREAMS = 32  # texts read side by side in training
 LANES = 512  # texts read side by side in scoring
 TRAIN_TOKENS = 300_000  # tokens the recurrent weights are fitted on; counts come from all training texts
-TRAIN_DOCS = 2_000  # documents that are asked for to find them, at most
+TRAIN_DOCS = 1_000  # documents drawn to find them, about; twice as many at most
 LONGEST = 20_000  # bytes of a training text of the recurrent part
 EPOCHS = 2
 RATE = 0.01
-FREQUENT = 20_000  # words kept at hand in every task have at least one in so many training tokens, so there are at most so many
-STEP = 4_000  # documents scored at a time
+FREQUENT = 200_000  # words kept at hand in every task have at least one in so many training tokens, so there are at most so many
+STEP = 2_000  # documents scored at a time
 END = ""  # the token after the last word; no word is empty
 
 
@@ -243,8 +243,9 @@ def reader(spark: SparkSession, model: Recurrent, frequent: dict[bytes, float],
     def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model, frequent, ends = shared.value
         for batch in texts:
-            whole, out = batch.tolist(), []
+            whole = batch.tolist()
             for at in range(0, len(whole), STEP):
+                out = []
                 split = [words_of(t) for t in whole[at : at + STEP]]
                 for words, score in zip(split, model.score(split)):
                     known, base, rest = (0, 0.0, []) if ends is None else (1, ends, [])
@@ -260,7 +261,7 @@ def reader(spark: SparkSession, model: Recurrent, frequent: dict[bytes, float],
                             base += n * log
                             outside_base += 0.0 if inside else n * log
                     out.append((len(words) + 1, float(score), known, base, outside, outside_base, rest))
-            yield pd.DataFrame(out, columns=["n_tokens", "score", "n_known", "base", "outside", "outside_base", "rest"])
+                yield pd.DataFrame(out, columns=["n_tokens", "score", "n_known", "base", "outside", "outside_base", "rest"])
 
     return read
 
@@ -293,8 +294,9 @@ def language_model_scores(docs: DataFrame, training: DataFrame, id_col: str = "d
     log = lambda c: math.log10((c + 0.5) / divisor)
     top = counts.filter(F.col("c") >= floor).orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     frequent = {r.word.encode("utf-8", "surrogatepass"): log(r.c) for r in top}
-    texts = training.filter(F.octet_length(text_col) <= LONGEST).select(F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
-    sample = [r.text for r in texts.orderBy("h", "text").limit(TRAIN_DOCS).collect()]
+    place = F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < 1_000_000 * TRAIN_DOCS / max(n_docs, 1)
+    drawn = training.filter(place & (F.octet_length(text_col) <= LONGEST)).select(F.col(text_col).alias("text"))
+    sample = sorted(r.text for r in drawn.limit(2 * TRAIN_DOCS).collect())
     own = top[:VOCABULARY]
     n_outside, v_outside = n - n_docs - sum(r.c for r in own), facts.v - len(own)
     model = train(sample, list(frequent)[:VOCABULARY], np.array([n_docs, n_outside, *(r.c for r in own)], float))
