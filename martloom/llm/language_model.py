@@ -12,6 +12,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -296,7 +297,7 @@ def language_model_scores(docs: DataFrame, training: DataFrame, id_col: str = "d
     frequent = {r.word.encode("utf-8", "surrogatepass"): log(r.c) for r in top}
     place = F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < 1_000_000 * TRAIN_DOCS / max(n_docs, 1)
     drawn = training.filter(place & (F.octet_length(text_col) <= LONGEST)).select(F.col(text_col).alias("text"))
-    sample = sorted(r.text for r in drawn.limit(2 * TRAIN_DOCS).collect())
+    sample = sorted((r.text for r in drawn.limit(2 * TRAIN_DOCS).collect()), key=lambda t: (crc32(t.encode("utf-8", "surrogatepass")), t))
     own = top[:VOCABULARY]
     n_outside, v_outside = n - n_docs - sum(r.c for r in own), facts.v - len(own)
     model = train(sample, list(frequent)[:VOCABULARY], np.array([n_docs, n_outside, *(r.c for r in own)], float))
