@@ -25,7 +25,7 @@ VOCABULARY = 1_000  # words of the recurrent model, the most frequent of all tra
 HIDDEN = 16
 WINDOW = 32  # steps of backpropagation and of scoring at a time
 STREAMS = 32  # texts read side by side in training
-LANES = 512  # texts read side by side in scoring
+LANES = 256  # texts read side by side in scoring
 TRAIN_TOKENS = 300_000  # tokens the recurrent weights are fitted on; counts come from all training texts
 TRAIN_DOCS = 1_000  # documents drawn to find them, about; twice as many at most
 LONGEST = 20_000  # bytes of a training text of the recurrent part
@@ -172,22 +172,26 @@ class Recurrent:
 
     # ------------------------------------------------------------------ scoring
 
-    def score(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each whole text, its end included, any unknown word being the same token.
+    def encode(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.ids.get, words, repeat(1)), np.int32, len(words))
+
+    def score(self, tokens: list[np.ndarray]) -> np.ndarray:
+        """log10 probability of each whole encoded text, its end included, any unknown word being the same token.
 
         Texts are dealt to lanes, the longest first, each lane reading its texts one after the other from a fresh state.
         """
-        get = self.ids.get
-        tokens = [np.fromiter(map(get, words, repeat(1)), np.int32, len(words)) for words in texts]
-        lanes: list[list[int]] = [[] for _ in range(min(LANES, len(texts)))]
+        lanes: list[list[int]] = [[] for _ in range(min(LANES, len(tokens)))]
         loads = np.zeros(len(lanes), int)
-        for i in sorted(range(len(texts)), key=lambda i: -len(tokens[i])):
+        for i in sorted(range(len(tokens)), key=lambda i: -len(tokens[i])):
             lane = int(loads.argmin())
             lanes[lane].append(i)
             loads[lane] += len(tokens[i]) + 1
+        # lanes by load, so that those at work stay side by side as the shorter ones end
+        order = np.argsort(-loads, kind="stable")
+        lanes, loads = [lanes[i] for i in order], loads[order]
         steps = int(loads.max()) if len(lanes) else 0
         inputs, goals = np.zeros((steps, len(lanes)), np.int32), np.zeros((steps, len(lanes)), np.int32)
-        owner = np.full((steps, len(lanes)), len(texts), np.int32)
+        owner = np.full((steps, len(lanes)), len(tokens), np.int32)
         for lane, own in enumerate(lanes):
             at = 0
             for i in own:
@@ -196,10 +200,7 @@ class Recurrent:
                 goals[at : at + n, lane] = tokens[i]
                 owner[at : at + n + 1, lane] = i
                 at += n + 1
-        # lanes by load, so that those at work stay side by side as the shorter ones end
-        order = np.argsort(-loads, kind="stable")
-        inputs, goals, owner, loads = inputs[:, order], goals[:, order], owner[:, order], loads[order]
-        total = np.zeros(len(texts) + 1)
+        total = np.zeros(len(tokens) + 1)
         h = np.zeros((len(lanes), self.hidden), np.float32)
         for at in range(0, steps, WINDOW):
             busy = int((loads > at).sum())
@@ -216,8 +217,8 @@ class Recurrent:
                 states[t] = h
             own = owner[at : at + size, :busy].ravel()
             logs = self.token_logs(states.reshape(-1, self.hidden), goals[at : at + size, :busy].ravel())
-            total += np.bincount(own, weights=logs, minlength=len(texts) + 1)
-        return total[: len(texts)] / math.log(10)
+            total += np.bincount(own, weights=logs, minlength=len(tokens) + 1)
+        return total[: len(tokens)] / math.log(10)
 
 
 def train(sample: list[str | None], vocabulary: list[bytes], counts: np.ndarray) -> Recurrent:
@@ -246,9 +247,10 @@ def reader(spark: SparkSession, model: Recurrent, frequent: dict[bytes, float],
         for batch in texts:
             whole = batch.tolist()
             for at in range(0, len(whole), STEP):
-                out = []
-                split = [words_of(t) for t in whole[at : at + STEP]]
-                for words, score in zip(split, model.score(split)):
+                out, encoded = [], []
+                for text in whole[at : at + STEP]:
+                    words = words_of(text)
+                    encoded.append(model.encode(words))
                     known, base, rest = (0, 0.0, []) if ends is None else (1, ends, [])
                     outside, outside_base = 0, 0.0
                     for w, n in Counter(words).items():
@@ -261,7 +263,9 @@ def reader(spark: SparkSession, model: Recurrent, frequent: dict[bytes, float],
                             known += n
                             base += n * log
                             outside_base += 0.0 if inside else n * log
-                    out.append((len(words) + 1, float(score), known, base, outside, outside_base, rest))
+                    out.append([len(words) + 1, 0.0, known, base, outside, outside_base, rest])
+                for row, score in zip(out, model.score(encoded)):
+                    row[1] = float(score)
                 yield pd.DataFrame(out, columns=["n_tokens", "score", "n_known", "base", "outside", "outside_base", "rest"])
 
     return read
