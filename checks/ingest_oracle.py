@@ -241,7 +241,14 @@ sql(
     "day_partitions_restated",
     "history",
     """SELECT day AS data_date, (sum(clicks) + CASE WHEN DATE '2001-08-01' - day BETWEEN 0 AND 6 THEN count(*) ELSE 0 END)::BIGINT AS clicks,
-              count(*) AS n FROM history GROUP BY day""",
+              count(*) AS n FROM history WHERE day <> DATE '2001-07-30' GROUP BY day""",
+)
+sql(
+    "documents_and_rejects",
+    "",
+    """x AS (SELECT 1)
+    SELECT o_orderkey AS id, CASE WHEN o_orderkey % 7 > 1 THEN floor(o_totalprice)::BIGINT END AS price, o_orderkey % 7 <= 1 AS rejected
+    FROM orders""",
 )
 sql(
     "stream_latest_state",

@@ -42,7 +42,7 @@ sql(
     "ec_weekly_summary_per_order",
     "lines",
     _WEEKLY.format(
-        source="(SELECT DISTINCT order_id, order_date, customer_email, total_price, false AS is_refunded FROM lines)"
+        source="(SELECT order_id, order_date, customer_email, total_price, bool_or(is_refunded) AS is_refunded FROM lines GROUP BY ALL)"
     ),
 )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.channels import with_channel
@@ -39,7 +39,9 @@ def ec_weekly_summary(g: Given) -> DataFrame:
 
 @query
 def ec_weekly_summary_per_order(g: Given) -> DataFrame:
-    return shop.ec_weekly_summary(g.orders.withColumn("is_refunded", F.lit(False)), revenue_basis="order")
+    # the given lines are refunded one by one; an order counts as refunded when a line of it is
+    refunded = F.max("is_refunded").over(Window.partitionBy("order_id"))
+    return shop.ec_weekly_summary(g.orders.withColumn("is_refunded", refunded), revenue_basis="order", sort=True)
 
 
 @query
@@ -97,7 +99,7 @@ def ec_cohort_ltv(g: Given) -> DataFrame:
 
 @query
 def ec_repeat_pattern(g: Given) -> DataFrame:
-    return shop.ec_repeat_pattern(g.orders)
+    return shop.ec_repeat_pattern(g.orders, sort=True)
 
 
 @query
@@ -194,7 +196,7 @@ def re_case_pipeline(g: Given) -> DataFrame:
 
 @query
 def re_lead_funnel(g: Given) -> DataFrame:
-    return leasing.re_lead_funnel(_leasing_traffic(g), g.tenants, g.deals, SHOP_DAY)
+    return leasing.re_lead_funnel(_leasing_traffic(g), g.tenants, g.deals, SHOP_DAY, sort=True)
 
 
 @query
@@ -209,7 +211,7 @@ def re_seo_inquiry_attribution(g: Given) -> DataFrame:
 
 @query
 def re_weekly_summary(g: Given) -> DataFrame:
-    return leasing.re_weekly_summary(re_lead_funnel(g))
+    return leasing.re_weekly_summary(re_lead_funnel(g), sort=True)
 
 
 # ------------------------------------------------------------------ both businesses, planned reports

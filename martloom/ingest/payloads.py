@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions.scalars import once
 
@@ -66,10 +67,25 @@ INSIGHTS = "data array<struct<name: string, values: array<struct<value: string>>
 SEARCH_ROWS = "rows array<struct<keys: array<string>, clicks: double, impressions: double, ctr: double, position: double>>"
 
 
+STRICT = {"mode": "FAILFAST"}
+
+
 def parse(df: DataFrame, schema: str, text: str = "body") -> DataFrame:
-    """Replace a JSON text column by its fields."""
+    """Replace a JSON text column by its fields. A document that does not fit fails the load, as in read_json."""
+    others = [c for c in df.columns if c != text]
+    return df.select(*others, once(F.from_json(text, schema, STRICT)).alias("_p")).select(*others, "_p.*")
+
+
+def parse_or_reject(df: DataFrame, schema: str, text: str = "body") -> tuple[DataFrame, DataFrame]:
+    """Fields of the documents that fit, and the rows of those that don't, for loads that go on without them.
+
+    Every row of df is in exactly one of the two; a null text is rejected.
+    """
     others = [c for c in df.columns if c != text]
-    return df.select(*others, once(F.from_json(text, schema)).alias("_p")).select(*others, "_p.*")
+    shape = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("_corrupt", T.StringType())])
+    parsed = df.withColumn("_p", F.from_json(text, shape, {"columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
+    return parsed.filter(~bad).select(*others, "_p.*").drop("_corrupt"), parsed.filter(bad).select(*df.columns)
 
 
 def read_json(spark: SparkSession, path: str, schema: str, one_per_file: bool = False) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions import utm
 from martloom.functions.scalars import blank_to_null, last_segment, number, once, to_int_half_even, to_int_half_up
-from martloom.ingest.payloads import STOCK_FIELDS, STOCK_ITEM
+from martloom.ingest.payloads import STOCK_FIELDS, STOCK_ITEM, STRICT
 from martloom.operators.keyed import latest_wins
 from martloom.operators.skew import SALT, spread_hot_keys
 
@@ -208,14 +208,14 @@ def stock_snapshot(bodies: DataFrame, snapshot_date: dt.date, run_at: dt.datetim
     """One row per stock item out of a body text that is either {"items": [..]} or a bare list. The item's
     own JSON text is kept."""
     is_list = F.ltrim("body").startswith("[")
-    items = F.when(is_list, F.from_json("body", "array<string>")).otherwise(
-        F.from_json("body", "items array<string>")["items"]
+    items = F.when(is_list, F.from_json("body", "array<string>", STRICT)).otherwise(
+        F.from_json("body", "items array<string>", STRICT)["items"]
     )
     count = lambda f: number(F.col(f"i.stock.{f}")).cast("long").alias(f)
     return (
         bodies.select(once(items).alias("items"))
         .select(F.explode("items").alias("raw_payload"))
-        .select("raw_payload", once(F.from_json("raw_payload", STOCK_ITEM)).alias("i"))
+        .select("raw_payload", once(F.from_json("raw_payload", STOCK_ITEM, STRICT)).alias("i"))
         .select(
             F.lit(snapshot_date).alias("snapshot_date"),
             F.coalesce(F.col("i.id"), F.lit("")).alias("item_id"),

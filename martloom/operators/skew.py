@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str], fraction: float, partitions: int) -> DataFrame:
+def hot_keys(facts: DataFrame, keys: Sequence[str], by: Sequence[str], fraction: float, partitions: int) -> DataFrame:
     """(keys, _splits) of the keys that hold more than two average partitions' worth of the facts.
 
-    Read from a sample of the key columns; it only decides how rows are spread. Fewer than
-    partitions / 2 keys can qualify, however large the facts are.
+    Read from a sample of the key columns, drawn by a hash of the columns `by`, so that every evaluation of the plan
+    draws the same rows; it only decides how rows are spread. Fewer than partitions / 2 keys can qualify, however
+    large the facts are.
     """
-    counts = facts.select(*keys).sample(fraction=fraction, seed=7).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    drawn = F.pmod(F.xxhash64(*by), F.lit(1_000_000)) < fraction * 1_000_000
+    counts = facts.filter(drawn).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     share = F.col("_n") / total
     return counts.filter(share > F.lit(2.0 / partitions)).select(
@@ -47,7 +49,9 @@ def spread_hot_keys(
     if partitions is None:
         partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # bounded by the number of shuffle partitions, see hot_keys
-    hot = F.broadcast(hot_keys(facts if key_source is None else key_source, keys, fraction, partitions))
+    source = facts if key_source is None else key_source
+    content = [c for c in spread if c in source.columns and c not in keys] or source.columns
+    hot = F.broadcast(hot_keys(source, keys, content, fraction, partitions))
 
     def with_splits(df: DataFrame) -> DataFrame:
         renamed = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_splits")

@@ -84,6 +84,7 @@ def re_lead_funnel(
     as_of: dt.date,
     days: int = 365,
     generated_at: dt.datetime | None = None,
+    sort: bool = False,
 ) -> DataFrame:
     """One row per day of the last year: search clicks, inquiries, new, won and lost deals.
 
@@ -127,13 +128,14 @@ def re_lead_funnel(
     ]
     daily = reduce(lambda left, right: left.join(right, "date", "left"), (clicks, inquiries, deal_events), calendar)
     funnel = daily.select("date", *[F.coalesce(F.col(m), F.lit(0)).alias(m) for m in measures])
-    return funnel.select(
+    report = funnel.select(
         "*",
         pct(F.col("inquiry_count"), F.col("organic_clicks"), 2).alias("click_to_inquiry_pct"),
         pct(F.col("new_deal_count"), F.col("inquiry_count"), 2).alias("inquiry_to_deal_pct"),
         pct(F.col("won_count"), F.col("new_deal_count"), 2).alias("deal_win_pct"),
         *stamp(generated_at),
     )
+    return report.orderBy("date") if sort else report
 
 
 def re_property_performance(
@@ -225,7 +227,7 @@ def re_seo_inquiry_attribution(
     )
 
 
-def re_weekly_summary(lead_funnel: DataFrame, generated_at: dt.datetime | None = None) -> DataFrame:
+def re_weekly_summary(lead_funnel: DataFrame, generated_at: dt.datetime | None = None, sort: bool = False) -> DataFrame:
     """The funnel per week with the change against the week before."""
     sums = {
         "organic_clicks": "organic_clicks",
@@ -240,9 +242,10 @@ def re_weekly_summary(lead_funnel: DataFrame, generated_at: dt.datetime | None =
     # unpartitioned, but over one row per week of the funnel (54 for a year)
     order = Window.orderBy("week_start")
     compared = {"organic_clicks": "clicks", "inquiries": "inquiries", "new_deals": "new_deals", "won": "won"}
-    return weekly.select(
+    report = weekly.select(
         "week_start",
         *sums,
         *[growth_pct(F.col(c), F.lag(c).over(order)).alias(f"{name}_wow_pct") for c, name in compared.items()],
         *stamp(generated_at),
     )
+    return report.orderBy("week_start") if sort else report

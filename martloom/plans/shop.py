@@ -22,6 +22,7 @@ from martloom.functions.scalars import (
 )
 from martloom.functions.utm import resolved
 from martloom.operators.joins import list_days, point_in_time, valid_on
+from martloom.operators.keyed import latest_wins
 from martloom.operators.periods import value_periods
 from martloom.operators.quantiles import histogram_quartiles
 from martloom.operators.skew import SALT, spread_hot_keys
@@ -37,9 +38,15 @@ RISING, DECLINING = 1.20, 0.80
 
 
 def one_row_per_order(orders: DataFrame) -> DataFrame:
-    """Order-level view of the line table, for revenue that counts each order once."""
+    """Order-level view of the line table, for revenue that counts each order once.
+
+    Every order is one of its own rows: of those landed last, a refunded one if there is any, then by the other
+    columns. An order that landed twice with changed values never becomes a mixture.
+    """
     level = [c for c in orders.columns if c not in _LINE_COLUMNS and c != "order_id"]
-    return orders.groupBy("order_id").agg(*[F.max(c).alias(c) for c in level])
+    newest = "inserted_at" if "inserted_at" in orders.columns else "order_id"
+    refunded_first = sorted(level, key=lambda c: c != "is_refunded")
+    return latest_wins(orders.select("order_id", *level, *({"inserted_at"} & {newest})), ["order_id"], newest, refunded_first).select("order_id", *level)
 
 
 _LINE_COLUMNS = {
@@ -53,7 +60,7 @@ def _basis(orders: DataFrame, revenue_basis: str, columns: list[str]) -> DataFra
     if revenue_basis == "line":
         return orders.select(*columns)
     if revenue_basis == "order":
-        return one_row_per_order(orders.select("order_id", *[c for c in columns if c != "order_id"]))
+        return one_row_per_order(orders).select(*columns)
     raise ValueError(f"revenue_basis is 'line' or 'order', not {revenue_basis!r}")
 
 
@@ -305,7 +312,7 @@ def ec_cohort_ltv(
 
 
 def ec_repeat_pattern(
-    orders: DataFrame, generated_at: dt.datetime | None = None, max_index: int = 10
+    orders: DataFrame, generated_at: dt.datetime | None = None, max_index: int = 10, sort: bool = False
 ) -> DataFrame:
     """Days from the n-th to the next purchase day. Orders of one day are one purchase.
 
@@ -329,7 +336,7 @@ def ec_repeat_pattern(
         F.sum(F.col("gap") * F.col("n")).alias("_days"),
         *[within(d).alias(f"_within_{d}") for d in (30, 60, 90, 180)],
     )
-    return totals.join(histogram_quartiles(gaps, "order_index", "gap", "n"), "order_index").select(
+    report = totals.join(histogram_quartiles(gaps, "order_index", "gap", "n"), "order_index").select(
         "order_index",
         "customer_count",
         round_at(mean_of(F.col("_days"), F.col("customer_count"))).alias("avg_days_to_next"),
@@ -342,6 +349,7 @@ def ec_repeat_pattern(
         ],
         *stamp(generated_at),
     )
+    return report.orderBy("order_index") if sort else report
 
 
 # ------------------------------------------------------------------ email campaigns

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -20,13 +19,10 @@ SHIPPING_SEED = (dt.date(2020, 1, 1), dt.date(2099, 12, 31), 1000)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the one the cluster shares (spark.checkpoint.dir). Only a local session without
-    that setting may use a folder of its own machine."""
+    """A fresh folder below the one the cluster shares, spark.checkpoint.dir."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        base = tempfile.mkdtemp(prefix="martloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -98,8 +94,16 @@ def write_by_day(df: DataFrame, path: str, day: str, cluster: Sequence[str] = ()
     _by_day(df, day, cluster).write.mode("overwrite").partitionBy(day).parquet(path)
 
 
-def restate_days(df: DataFrame, path: str, day: str, cluster: Sequence[str] = ()) -> None:
-    """Replace exactly the days that occur in df, leave all other days of the table alone."""
+def restate_days(
+    df: DataFrame, path: str, day: str, cluster: Sequence[str] = (), window: tuple[dt.date, dt.date] | None = None
+) -> None:
+    """Replace the days that occur in df, leave all other days of the table alone.
+
+    With a window (first and last day, both included) df is all there is of it: days of the window that df has no
+    rows for lose theirs. They are removed after the write, so a run that fails in between is completed by the next.
+    """
+    if window is not None:
+        df = df.filter(F.col(day).between(*map(F.lit, window)))
     (
         _by_day(df, day, cluster)
         .write.mode("overwrite")
@@ -107,6 +111,17 @@ def restate_days(df: DataFrame, path: str, day: str, cluster: Sequence[str] = ()
         .partitionBy(day)
         .parquet(path)
     )
+    if window is not None:
+        first, last = window
+        filled = {r[0] for r in df.select(day).distinct().collect()}  # a row per day of the window at most
+        days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
+        for empty in (d for d in days if d not in filled):
+            _remove(df.sparkSession, f"{path}/{day}={empty.isoformat()}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def last_days(df: DataFrame, day: str, as_of: dt.date, n: int) -> DataFrame:

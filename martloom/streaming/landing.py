@@ -15,8 +15,9 @@ Transform = Callable[[DataFrame], DataFrame]
 
 
 def landed(spark: SparkSession, path: str, schema: str | T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of JSON-lines files that keep arriving in a folder."""
-    reader = spark.readStream.schema(schema)
+    """Stream of JSON-lines files that keep arriving in a folder. A document that does not fit stops the stream
+    before its batch is committed, as it fails the batch load."""
+    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)

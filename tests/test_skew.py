@@ -70,12 +70,12 @@ def lopsided(spark):
 def test_hot_keys_do_not_change_results(spark, lopsided, monkeypatch, job):
     seen = []
 
-    def every_row(facts, keys, fraction, partitions):
-        hot = REAL(facts, keys, 1.0, 32)
+    def every_row(facts, keys, *_):
+        hot = REAL(facts, keys, facts.columns, 1.0, 32)
         seen.append(hot.count())
         return hot
 
-    monkeypatch.setattr(skew, "hot_keys", lambda f, k, *_: REAL(f, k, 1.0, 32).limit(0))
+    monkeypatch.setattr(skew, "hot_keys", lambda f, k, *_: REAL(f, k, f.columns, 1.0, 32).limit(0))
     plain = rows(lopsided[job]())
     monkeypatch.setattr(skew, "hot_keys", every_row)
     assert rows(lopsided[job]()) == plain and len(plain) > 0
