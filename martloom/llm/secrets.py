@@ -25,7 +25,8 @@ ENCODINGS = {
     "hex": (r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", DIGITS + LOWER[:6], 0.115),
     "HEX": (r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", DIGITS + UPPER[:6], 0.115),
     "base32": (r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", UPPER + "234567", 0.065),
-    "base62": (r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9]+$", UPPER + LOWER + DIGITS, 0.06),
+    "base36": (r"^(?=(?:[^0-9]*[0-9]){4})(?=.*[a-z])[a-z0-9]+$", LOWER + DIGITS, 0.06),
+    "base62": (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9]+$", UPPER + LOWER + DIGITS, 0.06),
     "base64": (r"^(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+=*$", UPPER + LOWER + DIGITS + "+/", 0.06),
     "base64url": (r"^(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+=*$", UPPER + LOWER + DIGITS + "-_", 0.06),
 }
