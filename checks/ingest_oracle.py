@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.oracle import div, rnd, sql
+from checks.oracle import ORACLE, div, rnd, sql
 from checks.sql import PARTS
 from martloom.sources.given import OWN_URL
 
@@ -259,3 +259,48 @@ sql(
         FROM lineitem JOIN part ON l_partkey = p_partkey)
     SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY sku ORDER BY inserted_at DESC) = 1""",
 )
+
+sql(
+    "declared_scan_rebuilt",
+    "history",
+    "SELECT day AS data_date, site_url, url, query, clicks, impressions, NULL::DOUBLE AS ctr, position FROM history",
+)
+ORACLE["report_rebuilt_as_table"] = ORACLE["ec_weekly_summary"]
+sql("table_created_if_missing", "costs", "SELECT *, true AS created, false AS created_again FROM costs")
+sql(
+    "append_with_stamp",
+    "deals",
+    """SELECT id, status, rent AS proposed_rent, TIMESTAMP '2001-08-01 03:00:00' AS inserted_at FROM deals
+    UNION ALL SELECT id, status, rent, TIMESTAMP '2001-07-31 03:00:00' FROM deals WHERE status = 'LOST'""",
+)
+sql("view_recomputed", "costs", "SELECT sku, count(*) AS periods, max(cost_price) AS highest FROM costs GROUP BY sku")
+sql(
+    "high_water_mark_text",
+    "",
+    """s(status) AS (VALUES ('F'), ('O'), ('P'), ('never'))
+    SELECT status, coalesce(strftime((SELECT max(o_orderdate) FROM orders WHERE o_orderstatus = status), '%Y-%m-%dT%H:%M:%SZ'),
+                            '2020-01-01T00:00:00Z') AS since FROM s""",
+)
+_TRIES = """tries AS (
+        SELECT o_custkey + 100 AS key, o_orderpriority AS value, o_orderdate AS t,
+               CASE WHEN o_orderstatus = 'O' THEN 'refused ' || o_orderpriority END AS error FROM orders)"""
+sql(
+    "keyed_upsert_state",
+    "",
+    f"""{_TRIES},
+    done AS (
+        SELECT key, value, t, row_number() OVER (PARTITION BY key ORDER BY t DESC, value DESC) AS n, count(*) OVER (PARTITION BY key) AS changes
+        FROM tries WHERE error IS NULL),
+    last AS (SELECT key, error FROM tries QUALIFY row_number() OVER (PARTITION BY key ORDER BY t DESC, error DESC NULLS LAST) = 1),
+    state AS (
+        SELECT coalesce(c_custkey, key) AS key, coalesce(value, c_mktsegment) AS value,
+               (CASE WHEN c_custkey IS NULL THEN 0 ELSE 1 END + coalesce(changes, 0))::BIGINT AS version,
+               coalesce(t, TIMESTAMP '1990-01-01') AS updated_at
+        FROM customer FULL JOIN (SELECT * FROM done WHERE n = 1) x ON key = c_custkey)
+    SELECT state.*, CASE WHEN last.key IS NULL THEN 'old error' ELSE last.error END AS error FROM state LEFT JOIN last USING (key)""",
+)
+sql(
+    "keyed_upsert_history",
+    "",
+    f"""{_TRIES} SELECT key, CASE WHEN error IS NULL THEN value END AS value, t AS updated_at, error, error IS NULL AS succeeded FROM tries""",
+)

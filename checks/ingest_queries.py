@@ -4,8 +4,10 @@ as many payloads as there are rows."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.queries import query
@@ -13,8 +15,10 @@ from martloom.functions import utm
 from martloom.functions.scalars import url_host, url_path
 from martloom.ingest import entities, marketing, payloads, shop
 from martloom.operators import keyed
+from martloom.plans import leasing
+from martloom.plans import shop as reports
 from martloom.sources import io
-from martloom.sources.given import OWN_URL, SHOP_DAY, SHOP_NOW, Given
+from martloom.sources.given import EPOCH, OWN_URL, SHOP_DAY, SHOP_NOW, Given
 from martloom.sources.schemas import struct
 from martloom.streaming import landing
 
@@ -583,3 +587,120 @@ def stream_latest_state(g: Given) -> DataFrame:
         source, lambda df: df, ["sku"], "inserted_at", schema, f"{base}/state", f"{base}/checkpoint"
     ).awaitTermination()
     return io.read_version(g.spark, f"{base}/state", schema)
+
+
+@query
+def declared_scan_rebuilt(g: Given) -> DataFrame:
+    """A table written as a part of itself, replaced as a whole, and scanned by its declaration (ctr was never written)."""
+    out = io.shared_dir(g.spark, "rebuilt")
+    io.rebuild(g.sc_history.filter("clicks > 0"), out)
+    io.rebuild(g.sc_history, out)
+    return io.scan(g.spark, "sc_history", out)
+
+
+@query
+def report_rebuilt_as_table(g: Given) -> DataFrame:
+    name = f"weekly_{uuid.uuid4().hex}"
+    io.rebuild_table(reports.ec_weekly_summary(g.orders.filter("is_refunded")), name)
+    io.rebuild_table(reports.ec_weekly_summary(g.orders), name)
+    return g.spark.table(name)
+
+
+@query
+def table_created_if_missing(g: Given) -> DataFrame:
+    """A declared table is created once; asking again leaves it alone."""
+    name = f"ec_cost_master_{uuid.uuid4().hex}"
+    first = io.create_if_missing(g.spark, "ec_cost_master", name)
+    masters = reports.ec_cost_master(g.products_daily, epoch=EPOCH)
+    masters.select(*io.SCHEMAS["ec_cost_master"].fieldNames()).write.insertInto(name)
+    again = io.create_if_missing(g.spark, "ec_cost_master", name)
+    return g.spark.table(name).withColumn("created", F.lit(first)).withColumn("created_again", F.lit(again))
+
+
+@query
+def append_with_stamp(g: Given) -> DataFrame:
+    """Two loads of a table; every row carries the stamp of its run."""
+    out = io.shared_dir(g.spark, "appended")
+    rows = g.deals.select("id", "status", "proposed_rent")
+    io.append(rows.filter(F.col("status") == "LOST"), out, RUN - dt.timedelta(days=1))
+    io.append(rows, out, RUN)
+    return g.spark.read.parquet(out)
+
+
+@query
+def view_recomputed(g: Given) -> DataFrame:
+    io.as_view(reports.ec_cost_master(g.products_daily, epoch=EPOCH), "martloom_cost_master")
+    return g.spark.sql("SELECT sku, count(*) AS periods, max(cost_price) AS highest FROM martloom_cost_master GROUP BY sku")
+
+
+@query
+def high_water_mark_text(g: Given) -> DataFrame:
+    """The mark of each status as text for a fetcher; a status that was never stored starts at the default."""
+    heads = _order_heads(g)
+    marks = [
+        keyed.high_water_mark(heads.filter(F.col("o_orderstatus") == status), "created_at", "2020-01-01").withColumn("status", F.lit(status))
+        for status in ("F", "O", "P", "never")
+    ]
+    return reduce(DataFrame.unionByName, marks)
+
+
+def _attempts(g: Given) -> tuple[DataFrame, DataFrame]:
+    current = g.table("customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value"), F.lit(1).cast("long").alias("version"),
+        F.lit("1990-01-01").cast("timestamp").alias("updated_at"), F.lit("old error").alias("error"),
+    )
+    failed = F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("refused "), "o_orderpriority"))
+    attempts = g.table("orders").select(
+        (F.col("o_custkey") + 100).alias("key"), F.col("o_orderpriority").alias("value"),
+        F.col("o_orderdate").cast("timestamp").alias("updated_at"), failed.alias("error"),
+    )
+    return current, attempts
+
+
+@query
+def keyed_upsert_state(g: Given) -> DataFrame:
+    return keyed.upsert_with_history(*_attempts(g), ["key"], ["value"], "version", "updated_at", "error")[0]
+
+
+@query
+def keyed_upsert_history(g: Given) -> DataFrame:
+    return keyed.upsert_with_history(*_attempts(g), ["key"], ["value"], "version", "updated_at", "error")[1]
+
+
+# ------------------------------------------------------------------ order of rows
+
+
+def in_order(df: DataFrame, name: str) -> DataFrame:
+    """The rows with the place they have in a sorted result, from the place in their file and the rows before it."""
+    spark = df.sparkSession
+    out = io.shared_dir(spark, name)
+    df.withColumn("_at", F.monotonically_increasing_id()).write.parquet(out)
+    rows = spark.read.parquet(out).withColumn("_part", F.shiftright("_at", 33))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task of the sort
+    before = sizes.select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    position = F.col("_before") + F.col("_at") - F.shiftleft("_part", 33) + 1
+    return rows.join(before, "_part").select(*df.columns, position.alias("position"))
+
+
+@query
+def ordered_repeat_pattern(g: Given) -> DataFrame:
+    return in_order(reports.ec_repeat_pattern(g.orders, sort=True), "repeat")
+
+
+@query
+def ordered_storage_cost(g: Given) -> DataFrame:
+    """Newest day first, dearest first, unknown cost last."""
+    return in_order(reports.ec_storage_cost_estimated(g.inventory, g.size_map, g.storage_rate, sort=True), "storage")
+
+
+@query
+def ordered_case_pipeline(g: Given) -> DataFrame:
+    """Stages in the order of the pipeline."""
+    return in_order(leasing.re_case_pipeline(g.deals, SHOP_DAY, sort=True), "cases")
+
+
+@query
+def ordered_weekly_summaries(g: Given) -> DataFrame:
+    """Shop weeks, newest first."""
+    return in_order(reports.ec_weekly_summary(g.orders, sort=True), "weeks")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.sql import BRAND_PATTERN, labelled, with_parts
-from martloom.sources.given import OWN_URL
+from martloom.sources.given import DEAL_STATES, OWN_URL
 
 ORACLE: dict[str, str] = {}
 
@@ -525,3 +525,56 @@ sql(
     """y AS (SELECT year(o_orderdate) AS year, o_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
     SELECT year, count(*) AS line_rows, count(DISTINCT o_orderkey) AS orders FROM y GROUP BY ALL""",
 )
+sql(
+    "quality_stock_without_cost",
+    "stock",
+    """SELECT DISTINCT sku FROM stock WHERE sku IS NOT NULL AND sku NOT IN (
+        SELECT l_partkey::VARCHAR FROM lineitem WHERE DATE '2001-08-01' - l_shipdate::DATE BETWEEN 0 AND 59)""",
+)
+sql(
+    "quality_overlapping_rules",
+    "",
+    """n AS (
+        SELECT (DATE '2015-01-01' + (n_nationkey * 90)::INTEGER)::DATE AS a, (a + (n_nationkey % 7 * 30)::INTEGER)::DATE AS b,
+               900 + n_nationkey * 10 AS fee FROM nation),
+    rules AS (
+        SELECT *, row_number() OVER (ORDER BY a, b, fee) AS i
+        FROM (SELECT DATE '2020-01-01' AS a, DATE '2099-12-31' AS b, 1000 AS fee
+              UNION ALL SELECT * FROM n UNION ALL SELECT * FROM n WHERE fee % 50 = 0))
+    SELECT a AS valid_from, b AS valid_to, fee::BIGINT AS shipping_fee_per_order FROM rules x
+    WHERE EXISTS (SELECT 1 FROM rules y WHERE y.i < x.i AND y.b >= x.a)""",
+)
+
+# ------------------------------------------------------------------ each order once, and the stamp of the run
+
+_ONCE = "lines AS (SELECT * FROM every_line QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY inserted_at DESC, is_refunded DESC) = 1)"
+ORACLE["ec_channel_roi_per_order"] = (
+    ORACLE["ec_channel_roi"].replace("lines AS (", "every_line AS (", 1).replace("tagged AS (", f"{_ONCE},\ntagged AS (", 1)
+)
+ORACLE["ec_cohort_ltv_per_order"] = (
+    ORACLE["ec_cohort_ltv"].replace("lines AS (", "every_line AS (", 1).replace(", months AS (", f", {_ONCE}, months AS (", 1)
+)
+ORACLE["ec_customer_profile_per_order"] = f"""
+    SELECT p.* REPLACE (t.revenue AS total_revenue, {rnd(div('t.revenue', 't.n'))} AS avg_order_value)
+    FROM ({ORACLE['ec_customer_profile']}) p
+    JOIN (SELECT 'customer' || o_custkey || '@example.com' AS customer_email, {big('sum(round(o_totalprice))')} AS revenue, count(*) AS n
+          FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY ALL) t USING (customer_email)"""
+
+_STAMPED = (
+    "ec_cohort_ltv", "ec_repeat_pattern", "ec_customer_profile", "ec_attribution_first_last", "ec_sku_trend", "ec_inventory_health",
+    "ec_storage_cost_estimated", "ec_search_to_purchase", "ec_seo_opportunity", "ec_competitor_gap", "re_case_pipeline",
+    "re_lead_funnel", "re_property_performance", "re_seo_inquiry_attribution", "re_weekly_summary",
+)
+
+# ------------------------------------------------------------------ order of rows
+
+for _name, _of, _order in (
+    ("ordered_repeat_pattern", "ec_repeat_pattern", "order_index"),
+    ("ordered_storage_cost", "ec_storage_cost_estimated", "snapshot_date DESC, estimated_daily_cost_yen DESC NULLS LAST, sku"),
+    ("ordered_case_pipeline", "re_case_pipeline", f"list_position({list(DEAL_STATES)}, status)"),
+    ("ordered_weekly_summaries", "ec_weekly_summary", "week_start DESC"),
+):
+    ORACLE[_name] = f"SELECT *, row_number() OVER (ORDER BY {_order}) AS position FROM ({ORACLE[_of]})"
+
+for _name in _STAMPED:
+    ORACLE[_name] = f"SELECT *, TIMESTAMP '2001-08-01 03:00:00' AS generated_at FROM ({ORACLE[_name]})"

@@ -12,6 +12,7 @@ from martloom.functions.channels import with_channel
 from martloom.plans import central, leasing, quality, search, shop
 from martloom.session import use_utc
 from martloom.sources.given import BRANDS, EPOCH, OWN_URL, SHOP_DAY, SHOP_NOW, Given
+from martloom.sources.io import last_days, shipping_seed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,24 +93,39 @@ def channel_rules_basic(g: Given) -> DataFrame:
     return _channels(g, "basic")
 
 
+@query
+def ec_channel_roi_per_order(g: Given) -> DataFrame:
+    return shop.ec_channel_roi(g.orders, *g.ad_sources, revenue_basis="order")
+
+
+@query
+def ec_cohort_ltv_per_order(g: Given) -> DataFrame:
+    return shop.ec_cohort_ltv(g.orders, revenue_basis="order")
+
+
+@query
+def ec_customer_profile_per_order(g: Given) -> DataFrame:
+    return shop.ec_customer_profile(g.orders, SHOP_DAY, revenue_basis="order")
+
+
 @query
 def ec_cohort_ltv(g: Given) -> DataFrame:
-    return shop.ec_cohort_ltv(g.orders)
+    return shop.ec_cohort_ltv(g.orders, generated_at=SHOP_NOW)
 
 
 @query
 def ec_repeat_pattern(g: Given) -> DataFrame:
-    return shop.ec_repeat_pattern(g.orders, sort=True)
+    return shop.ec_repeat_pattern(g.orders, generated_at=SHOP_NOW, sort=True)
 
 
 @query
 def ec_customer_profile(g: Given) -> DataFrame:
-    return shop.ec_customer_profile(g.orders, SHOP_DAY)
+    return shop.ec_customer_profile(g.orders, SHOP_DAY, generated_at=SHOP_NOW)
 
 
 @query
 def ec_attribution_first_last(g: Given) -> DataFrame:
-    return shop.ec_attribution_first_last(g.orders)
+    return shop.ec_attribution_first_last(g.orders, generated_at=SHOP_NOW)
 
 
 @query
@@ -119,17 +135,17 @@ def ec_klaviyo_conversion(g: Given) -> DataFrame:
 
 @query
 def ec_sku_trend(g: Given) -> DataFrame:
-    return shop.ec_sku_trend(g.orders, ec_cost_master(g))
+    return shop.ec_sku_trend(g.orders, ec_cost_master(g), generated_at=SHOP_NOW)
 
 
 @query
 def ec_inventory_health(g: Given) -> DataFrame:
-    return shop.ec_inventory_health(g.inventory, g.orders, SHOP_DAY, sort=True)
+    return shop.ec_inventory_health(g.inventory, g.orders, SHOP_DAY, generated_at=SHOP_NOW, sort=True)
 
 
 @query
 def ec_storage_cost_estimated(g: Given) -> DataFrame:
-    return shop.ec_storage_cost_estimated(g.inventory, g.size_map, g.storage_rate, sort=True)
+    return shop.ec_storage_cost_estimated(g.inventory, g.size_map, g.storage_rate, generated_at=SHOP_NOW, sort=True)
 
 
 # ------------------------------------------------------------------ search
@@ -137,17 +153,17 @@ def ec_storage_cost_estimated(g: Given) -> DataFrame:
 
 @query
 def ec_search_to_purchase(g: Given) -> DataFrame:
-    return search.ec_search_to_purchase(g.sc_history, g.orders)
+    return search.ec_search_to_purchase(g.sc_history, g.orders, generated_at=SHOP_NOW)
 
 
 @query
 def ec_seo_opportunity(g: Given) -> DataFrame:
-    return search.ec_seo_opportunity(g.sc_history, g.keywords, g.orders, SHOP_DAY, OWN_URL)
+    return search.ec_seo_opportunity(g.sc_history, g.keywords, g.orders, SHOP_DAY, OWN_URL, generated_at=SHOP_NOW)
 
 
 @query
 def ec_competitor_gap(g: Given) -> DataFrame:
-    return search.ec_competitor_gap(g.keywords, g.orders, SHOP_DAY, OWN_URL, sort=True)
+    return search.ec_competitor_gap(g.keywords, g.orders, SHOP_DAY, OWN_URL, generated_at=SHOP_NOW, sort=True)
 
 
 @query
@@ -191,27 +207,27 @@ def _leasing_traffic(g: Given) -> DataFrame:
 
 @query
 def re_case_pipeline(g: Given) -> DataFrame:
-    return leasing.re_case_pipeline(g.deals, SHOP_DAY, sort=True)
+    return leasing.re_case_pipeline(g.deals, SHOP_DAY, generated_at=SHOP_NOW, sort=True)
 
 
 @query
 def re_lead_funnel(g: Given) -> DataFrame:
-    return leasing.re_lead_funnel(_leasing_traffic(g), g.tenants, g.deals, SHOP_DAY, sort=True)
+    return leasing.re_lead_funnel(_leasing_traffic(g), g.tenants, g.deals, SHOP_DAY, generated_at=SHOP_NOW, sort=True)
 
 
 @query
 def re_property_performance(g: Given) -> DataFrame:
-    return leasing.re_property_performance(g.properties, g.deals, g.activities, SHOP_DAY, sort=True)
+    return leasing.re_property_performance(g.properties, g.deals, g.activities, SHOP_DAY, generated_at=SHOP_NOW, sort=True)
 
 
 @query
 def re_seo_inquiry_attribution(g: Given) -> DataFrame:
-    return leasing.re_seo_inquiry_attribution(_leasing_traffic(g), g.tenants, SHOP_NOW)
+    return leasing.re_seo_inquiry_attribution(_leasing_traffic(g), g.tenants, SHOP_NOW, generated_at=SHOP_NOW)
 
 
 @query
 def re_weekly_summary(g: Given) -> DataFrame:
-    return leasing.re_weekly_summary(re_lead_funnel(g), sort=True)
+    return leasing.re_weekly_summary(re_lead_funnel(g), generated_at=SHOP_NOW, sort=True)
 
 
 # ------------------------------------------------------------------ both businesses, planned reports
@@ -219,7 +235,7 @@ def re_weekly_summary(g: Given) -> DataFrame:
 
 @query
 def all_revenue_summary(g: Given) -> DataFrame:
-    return central.all_revenue_summary(shop.ec_weekly_summary(g.orders), re_weekly_summary(g))
+    return central.all_revenue_summary(shop.ec_weekly_summary(g.orders), re_weekly_summary(g).drop("generated_at"))
 
 
 @query
@@ -269,6 +285,25 @@ def quality_skus_without_size(g: Given) -> DataFrame:
     return quality.skus_without_master(g.orders, g.size_map)
 
 
+@query
+def quality_stock_without_cost(g: Given) -> DataFrame:
+    """Stocked SKUs that no cost master knows when it is built from the last sixty days of sightings."""
+    recent = last_days(g.products_daily, "fetched_date", SHOP_DAY, 60)
+    return quality.skus_without_master(g.inventory, shop.ec_cost_master(recent, epoch=EPOCH))
+
+
+@query
+def quality_overlapping_rules(g: Given) -> DataFrame:
+    """Shipping rules without a key: the seeded one, one per nation, and every fifth of those delivered twice."""
+    k = F.col("n_nationkey")
+    start = F.date_add(F.lit(dt.date(2015, 1, 1)), (k * 90).cast("int"))
+    nations = g.table("nation").select(
+        start.alias("valid_from"), F.date_add(start, (k % 7 * 30).cast("int")).alias("valid_to"), (900 + k * 10).cast("long").alias("shipping_fee_per_order")
+    )
+    twice = nations.filter(F.col("shipping_fee_per_order") % 50 == 0)
+    return quality.overlapping_periods(shipping_seed(g.spark).unionByName(nations).unionByName(twice))
+
+
 @query
 def yearly_orders(g: Given) -> DataFrame:
     return quality.yearly_orders(g.orders)

@@ -64,3 +64,24 @@ def upsert(
     return old.join(batch, list(keys), "full").select(
         *keys, *[pick(c) for c in values], count.cast("long").alias(counter), pick(updated_at)
     )
+
+
+def upsert_with_history(
+    current: DataFrame, attempts: DataFrame, keys: Sequence[str], values: Sequence[str], counter: str, updated_at: str, error: str
+) -> tuple[DataFrame, DataFrame]:
+    """State and history after a batch of attempted changes, of which some failed (`error` is not null).
+
+    Successful attempts change the state as `upsert` does and clear the error of their key. A failed one leaves value,
+    counter and stamp alone: a key whose newest attempt failed only carries its error; if the key is not known yet there
+    is no row for it. The history has one row per attempt, to be appended: keys, values (null where it failed), stamp,
+    error and whether it succeeded. Of attempts with equal stamps a failed one counts as the newest.
+    """
+    done = F.col(error).isNull()
+    state = upsert(current, attempts.filter(done), keys, values, counter, updated_at)
+    # newest attempt of each key: whether it failed and how; an aggregation combines before the shuffle
+    last = attempts.groupBy(*keys).agg(F.max(F.struct(updated_at, error)).alias("_last"))
+    before = current.select(*keys, F.col(error).alias("_before")) if error in current.columns else current.select(*keys, F.lit(None).cast("string").alias("_before"))
+    now = F.when(F.col("_last").isNotNull(), F.col(f"_last.{error}")).otherwise(F.col("_before")).alias(error)
+    state = state.join(last, list(keys), "left").join(before, list(keys), "left").select(*state.columns, now)
+    history = attempts.select(*keys, *[F.when(done, F.col(c)).alias(c) for c in values], updated_at, error, done.alias("succeeded"))
+    return state, history

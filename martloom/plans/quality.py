@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,9 +19,16 @@ def overlapping_periods(master: DataFrame, keys: Sequence[str] = ()) -> DataFram
     """Master rows that are valid on a day on which an earlier row of the same key is valid as well."""
     if keys:
         return overlaps(master, list(keys))
-    # two periods that share a day share its year, which serves as the key
-    per_year = master.withColumn("_year", F.explode(F.sequence(F.year("valid_from"), F.year("valid_to"))))
-    return overlaps(per_year, ["_year"]).drop("_year").distinct()
+    # two periods that share a day share its year, which serves as the key; equal rows overlap each other as well
+    columns = master.columns
+    rules = master.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+    per_year = rules.withColumn("_year", F.explode(F.sequence(F.year("valid_from"), F.year("valid_to"))))
+    w = Window.partitionBy("_year").orderBy("valid_from", "valid_to", *[c for c in columns if c not in ("valid_from", "valid_to")])
+    reach = F.max("valid_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    flagged = per_year.withColumn("_hit", F.coalesce(F.col("valid_from") <= reach, F.lit(False)))
+    hits = flagged.groupBy(*columns, "_copies").agg(F.max("_hit").alias("_hit"))
+    times = F.when(F.col("_hit"), F.col("_copies")).otherwise(F.col("_copies") - 1).cast("int")
+    return hits.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).select(*columns)
 
 
 def missing_required(df: DataFrame, schema: T.StructType) -> DataFrame:
