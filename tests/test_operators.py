@@ -21,7 +21,7 @@ from martloom.functions.scalars import (
     week_start,
 )
 from martloom.operators.joins import list_days, newest_before, point_in_time, prefix_totals, valid_on
-from martloom.operators.keyed import between_stamps, high_water_mark, latest_wins, since_mark, upsert
+from martloom.operators.keyed import between_stamps, high_water_mark, latest_wins, since_mark, upsert, upsert_with_history
 from martloom.operators.periods import overlaps, value_periods
 from martloom.operators.quantiles import histogram_quartiles
 from martloom.operators.skew import SALT, hot_keys, spread_hot_keys
@@ -137,7 +137,7 @@ def test_spread_hot_keys_changes_nothing_but_the_layout(spark):
         "id",
     )
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k7", 3), (None, 4)], "k string, v int")
-    hot = hot_keys(facts, ["k"], 1.0, 16).collect()
+    hot = hot_keys(facts, ["k"], ["id"], 1.0, 16).collect()
     assert [(r["k"], r["_splits"]) for r in hot] == [("hot", 10)]
     left, right = spread_hot_keys(facts, lookup, ["k"], ["id"], fraction=1.0, partitions=16)
     assert left.filter("k = 'hot'").select(SALT).distinct().count() == 10
@@ -204,3 +204,16 @@ def test_quartiles_against_sorted_lists(spark):
     got = rows(histogram_quartiles(spark.createDataFrame(hist, "g int, v long, n long"), "g", "v", "n"))
     want = [(g, *(sorted(vs)[max(0, -(-len(vs) * k // 4) - 1)] for k in (1, 2, 3))) for g, vs in groups.items()]
     assert got == sorted(want, key=str)
+
+
+def test_upsert_with_history(spark):
+    schema = "k string, v string, n long, at timestamp, error string"
+    current = spark.createDataFrame([("a", "old", 3, T("2024-01-01"), None), ("b", "old", 1, T("2024-01-01"), "was down"), ("c", "old", 1, T("2024-01-01"), "was down")], schema)
+    attempts = spark.createDataFrame(
+        [("a", "new", T("2024-01-02"), None), ("a", "lost", T("2024-01-03"), "refused"), ("b", "new", T("2024-01-02"), None), ("d", "x", T("2024-01-02"), "refused")],
+        "k string, v string, at timestamp, error string",
+    )
+    state, history = upsert_with_history(current, attempts, ["k"], ["v"], "n", "at", "error")
+    assert rows(state, "k", "v", "n", "error") == [("a", "new", 4, "refused"), ("b", "new", 2, None), ("c", "old", 1, "was down")]
+    assert rows(history, "k", "v", "succeeded") == sorted([("a", "new", True), ("a", None, False), ("b", "new", True), ("d", None, False)], key=str)
+    assert rows(upsert_with_history(current, attempts.limit(0), ["k"], ["v"], "n", "at", "error")[0]) == rows(current)
