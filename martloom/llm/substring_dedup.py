@@ -36,6 +36,22 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def spaced(places: np.ndarray) -> np.ndarray:
+    """Sorted places without those that are within NEAR of the one kept before.
+
+    Only equal hashes stand so close: a text that repeats itself. Its cuts keep the rhythm of the repetition, so all its
+    chunks but the first and the last are the same, wherever the repetition starts and however long it is.
+    """
+    if not len(places) or (np.diff(places) > NEAR).all():
+        return places
+    kept, last = [], -NEAR - 1
+    for p in places.tolist():
+        if p - last > NEAR:
+            kept.append(p)
+            last = p
+    return np.array(kept, np.int64)
+
+
 def cuts(data: np.ndarray) -> np.ndarray:
     """Ends of chunks, the last one the end of the data; before a character's first byte, never inside one."""
     n = len(data)
@@ -51,9 +67,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
     before = ahead[inner - NEAR]  # of i - NEAR to i
     after = ahead[inner]
     at = inner[(h[inner] == np.minimum(before, after))]
-    fresh = np.ones(len(at), bool)
-    fresh[1:] = np.diff(at) > NEAR  # equal hashes side by side, as in a run of one character: the first
-    ends = at[fresh] + 1
+    ends = spaced(at) + 1
     inside = (data[np.minimum(ends, n - 1)] & 0xC0) == 0x80
     while inside.any():
         ends = ends + inside

@@ -249,6 +249,14 @@ def test_cuts_and_shifts():
     assert "".join(text[s:e] for s, e in zip(starts, ends)) == text
 
 
+def test_repeated_words_are_cut_by_their_rhythm():
+    for word, n in (("of", 60), ("é", 120), ("stanin", 51), ("of heti", 40)):
+        run = " ".join([word] * n)
+        inner = [{tuple(d) for d in substring_dedup.chunks_of(f"{a}{run}{b}")[2].tolist()} for a, b in (("", ""), ("some other words ", " end"), ("x", " and more of it"))]
+        common = inner[0] & inner[1] & inner[2]
+        assert common and all(len(c) <= len(common) + 4 for c in inner), word
+
+
 def test_a_passage_of_two_documents_is_found(spark):
     rnd = random.Random(6)
     words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8))) for _ in range(2000)]
