@@ -304,3 +304,13 @@ sql(
     "",
     f"""{_TRIES} SELECT key, CASE WHEN error IS NULL THEN value END AS value, t AS updated_at, error, error IS NULL AS succeeded FROM tries""",
 )
+
+ORACLE["ec_channel_roi_from_raw"] = ORACLE["ec_channel_roi"]
+ORACLE["ad_cost_feed_from_raw"] = ORACLE["ad_cost_feed"]
+sql(
+    "orders_required_and_rejects",
+    "lines",
+    """SELECT order_id, line_item_id, sku, quantity,
+              nullif(concat_ws(',', CASE WHEN landing_site IS NULL THEN 'landing_site' END,
+                               CASE WHEN referring_site IS NULL THEN 'referring_site' END), '') AS missing FROM lines""",
+)

@@ -704,3 +704,41 @@ def ordered_case_pipeline(g: Given) -> DataFrame:
 def ordered_weekly_summaries(g: Given) -> DataFrame:
     """Shop weeks, newest first."""
     return in_order(reports.ec_weekly_summary(g.orders, sort=True), "weeks")
+
+
+# ------------------------------------------------------------------ from raw tables to reports
+
+
+def _ads_loaded_twice(g: Given) -> list[DataFrame]:
+    """Each advertising source as two loads of a rolling window leave it; the earlier load had other figures."""
+    out = []
+    for table, rows in zip(("ec_google_ads", "ec_meta_ads", "ec_yahoo_ads", "ec_microsoft_ads"), g.ad_sources):
+        third = io.KEYS[table][2]
+        sums = rows.groupBy("date", "campaign_id").agg(*[F.sum(c).alias(c) for c in ("impressions", "clicks", "cost", "conversions")])
+        newest = sums.select("*", F.lit("all").alias(third), F.date_add("date", 2).cast("timestamp").alias("inserted_at"))
+        earlier = newest.withColumn("cost", F.col("cost") + 7).withColumn("inserted_at", F.date_add("date", 1).cast("timestamp"))
+        out.append(io.newest_rows(earlier.unionByName(newest), table))
+    return out
+
+
+@query
+def ec_channel_roi_from_raw(g: Given) -> DataFrame:
+    """Every day of the ad sources and every order line was loaded twice."""
+    earlier = g.orders.withColumn("total_price", F.col("total_price") + 1).withColumn("inserted_at", F.col("inserted_at") - F.expr("INTERVAL 1 DAY"))
+    lines = g.orders.withColumn("line_item_id", F.concat_ws("-", "line_item_id", "sku", "inserted_at", "quantity", "unit_price"))
+    loaded = lines.unionByName(earlier.withColumn("line_item_id", F.concat_ws("-", "line_item_id", "sku", F.col("inserted_at") + F.expr("INTERVAL 1 DAY"), "quantity", "unit_price")))
+    return reports.ec_channel_roi(io.newest_rows(loaded, "ec_shopify_orders"), *_ads_loaded_twice(g))
+
+
+@query
+def ad_cost_feed_from_raw(g: Given) -> DataFrame:
+    return reports.ad_cost_feed(*_ads_loaded_twice(g))
+
+
+@query
+def orders_required_and_rejects(g: Given) -> DataFrame:
+    """Lines without a landing page or a referrer can't be loaded where both are required."""
+    declared = struct("order_id S!, line_item_id S!, landing_site S!, referring_site S!, utm_source S")
+    good, bad = io.required_or_reject(g.orders, declared)
+    columns = ["order_id", "line_item_id", "sku", "quantity"]
+    return good.select(*columns, F.lit(None).cast("string").alias("missing")).unionByName(bad.select(*columns, "missing"))

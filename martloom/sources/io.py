@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.ingest.shop import run_stamp
-from martloom.sources.schemas import SCHEMAS
+from martloom.operators.keyed import latest_wins
+from martloom.sources.schemas import KEYS, SCHEMAS
 
 # ---- fixed values: the first shipping rule ----
 SHIPPING_SEED = (dt.date(2020, 1, 1), dt.date(2099, 12, 31), 1000)
@@ -55,6 +56,23 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def newest_rows(raw: DataFrame, table: str) -> DataFrame:
+    """A raw table as reports read it: of a row that was loaded several times, as in a rolling window, the newest."""
+    return latest_wins(raw, KEYS[table], "inserted_at")
+
+
+def required_or_reject(df: DataFrame, table_or_schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows with all required columns of the declaration, and the others with `missing`, the names of their null columns.
+
+    Every row of df is in exactly one of the two. A required column that df does not have is missing everywhere.
+    """
+    schema = SCHEMAS[table_or_schema] if isinstance(table_or_schema, str) else table_or_schema
+    required = [f.name for f in schema.fields if not f.nullable]
+    null = [F.when(F.col(c).isNull() if c in df.columns else F.lit(True), F.lit(c)) for c in required]
+    marked = df.withColumn("missing", F.array_join(F.array_compact(F.array(*null)), ",") if null else F.lit(""))
+    return marked.filter("missing = ''").drop("missing"), marked.filter("missing <> ''")
+
+
 # ------------------------------------------------------------------ writing
 
 

@@ -58,3 +58,23 @@ def struct(columns: str) -> T.StructType:
 
 
 SCHEMAS: dict[str, T.StructType] = {name: struct(columns) for name, columns in TABLES.items()}
+
+
+_AD_KEY = ("date", "campaign_id", "ad_group_id")
+
+# ---- fixed values: columns that name a row of a raw table; of several loads of it the newest counts ----
+KEYS: dict[str, tuple[str, ...]] = {
+    "ec_google_ads": _AD_KEY,
+    "ec_yahoo_ads": _AD_KEY,
+    "ec_microsoft_ads": _AD_KEY,
+    "ec_meta_ads": ("date", "campaign_id", "ad_set_id"),
+    "ec_klaviyo_campaigns": ("campaign_id",),
+    "ec_klaviyo_profiles": ("profile_id",),
+    "ec_openlogi_inventory_daily": ("snapshot_date", "item_id"),
+    "ec_shopify_orders": ("order_id", "line_item_id"),
+    "ec_shopify_products_daily": ("fetched_date", "variant_id"),
+    "re_deals": ("id",),
+    "re_properties": ("id",),
+    "re_tenants": ("id",),
+}
+# ---- end of fixed values ----

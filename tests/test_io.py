@@ -87,3 +87,11 @@ def test_shared_dir(spark):
 def test_schemas_have_required_keys(table):
     assert any(not f.nullable for f in SCHEMAS[table].fields)
     assert orders_from_rest is not None
+
+
+def test_required_columns_split_a_load(make):
+    table = make("re_deals", {"id": 1, "deal_number": "D", "tenant_id": 1, "property_id": 1, "status": "LOST", "created_at": T("2024-01-01"), "updated_at": T("2024-01-01"), "inserted_at": T("2024-01-01")}, {"id": 2})
+    good, bad = io.required_or_reject(table, "re_deals")
+    assert rows(good, "id") == [(1,)] and good.columns == table.columns
+    assert rows(bad, "id", "missing") == [(2, "deal_number,tenant_id,property_id,status,created_at,updated_at,inserted_at")]
+    assert rows(io.required_or_reject(table.drop("status"), "re_deals")[1].filter("id = 1"), "missing") == [("status",)]
