@@ -20,7 +20,13 @@ _REST = f"""
     SELECT o_orderkey::VARCHAR AS order_id, '#' || o_orderkey AS order_name, o_orderdate - INTERVAL 9 HOUR AS created_at,
            o_orderdate::DATE AS order_date, CASE WHEN o_orderpriority < '4' THEN o_custkey::VARCHAR END AS customer_id,
            CASE WHEN o_orderpriority < '4' THEN '' ELSE 'guest-' END || 'customer' || o_custkey || '@example.com' AS customer_email,
-           floor(o_totalprice + 0.5::DOUBLE)::BIGINT AS total_price,
+           lower(o_orderstatus) AS financial_status, floor(o_totalprice + 0.5::DOUBLE)::BIGINT AS total_price,
+           floor(o_totalprice)::BIGINT + 1 AS subtotal_price,
+           CASE WHEN o_orderpriority NOT LIKE '2%' THEN floor(o_totalprice / 10)::BIGINT END AS total_discounts,
+           CASE WHEN o_orderpriority NOT LIKE '3%' THEN floor(o_totalprice / 20)::BIGINT END AS total_tax,
+           l_partkey || 'v' AS variant_id, CASE WHEN l_linestatus = 'O' THEN 'open' END AS variant_title,
+           CASE WHEN o_orderpriority NOT LIKE '1%' THEN 'web' END AS source_name,
+           'https://ref.example.org/' || (o_orderkey % 9) AS referring_site,
            l_orderkey || '-' || l_linenumber || '-' || x AS line_item_id, l_partkey::VARCHAR AS product_id,
            CASE WHEN x = 'a' THEN l_partkey::VARCHAR ELSE '' END AS sku, 'Part ' || l_partkey AS sku_title,
            l_quantity::BIGINT AS quantity, floor(l_extendedprice + 0.5::DOUBLE)::BIGINT AS unit_price,
@@ -49,7 +55,14 @@ sql(
            (floor(l_discount * 100 + 0.5::DOUBLE) + floor(l_discount * 100 + 0.5::DOUBLE) % 2)::BIGINT AS line_discount,
            f.d IS NOT NULL AS is_refunded, f.d AS refund_date,
            CASE WHEN f.d IS NOT NULL THEN floor(o_totalprice / 2)::BIGINT END AS refund_amount, f.note AS refund_reason,
-           'a,b' AS tags
+           'a,b' AS tags, o_orderdate AS created_at, floor(o_totalprice / 3)::BIGINT AS subtotal_price,
+           floor(o_totalprice / 10)::BIGINT AS total_discounts,
+           CASE WHEN o_orderstatus <> 'F' THEN floor(o_totalprice / 20)::BIGINT END AS total_tax,
+           l_partkey || 'v' AS variant_id, 'Part ' || l_partkey AS sku_title,
+           CASE WHEN l_linestatus = 'O' THEN 'open' END AS variant_title, 'web' AS source_name,
+           '/p/' || (o_custkey % 9) || '?utm_source=news&utm_medium=email' AS landing_site,
+           'https://ref.example.org/' AS referring_site, 'news' AS utm_source, 'email' AS utm_medium,
+           NULL::VARCHAR AS utm_campaign
     FROM lineitem l JOIN orders ON l.l_orderkey = o_orderkey LEFT JOIN first_refund f ON f.l_orderkey = o_orderkey
     WHERE o_orderpriority <> '5-LOW'""",
 )
@@ -167,12 +180,12 @@ sql(
     "",
     """a AS (
         SELECT l_shipdate::DATE AS d, l_suppkey AS k, sum(CASE WHEN l_linestatus = 'O' THEN l_linenumber END)::DOUBLE AS n
-        FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
+        FROM lineitem GROUP BY ALL)
     SELECT l_shipdate::DATE AS date, l_suppkey::VARCHAR AS campaign_id, 'camp ' || l_suppkey AS campaign_name,
            l_linenumber::VARCHAR AS ad_set_id, CASE WHEN l_linestatus = 'O' THEN l_quantity::BIGINT END AS impressions,
            l_linenumber::BIGINT AS clicks, floor(l_extendedprice)::BIGINT + 1 AS cost, coalesce(n, 0) AS conversions,
            NULL::BIGINT AS revenue
-    FROM lineitem LEFT JOIN a ON a.d = l_shipdate::DATE AND a.k = l_suppkey WHERE l_returnflag = 'A'""",
+    FROM lineitem LEFT JOIN a ON a.d = l_shipdate::DATE AND a.k = l_suppkey""",
 )
 sql(
     "search_console_view",

@@ -51,8 +51,10 @@ def order_payloads(g: Given) -> DataFrame:
     line = lambda no, sku, off: F.struct(
         F.concat_ws("-", "l_orderkey", "l_linenumber", F.lit(no)).alias("id"),
         _s("l_partkey").alias("product_id"),
+        F.concat("l_partkey", F.lit("v")).alias("variant_id"),
         sku.alias("sku"),
         F.concat(F.lit("Part "), "l_partkey").alias("title"),
+        F.when(F.col("l_linestatus") == "O", "open").otherwise("").alias("variant_title"),
         F.col("l_quantity").cast("long").alias("quantity"),
         _s("l_extendedprice").alias("price"),
         off.alias("discount_allocations"),
@@ -80,7 +82,13 @@ def order_payloads(g: Given) -> DataFrame:
                 iso("o_orderdate").alias("created_at"),
                 F.when(urgency == "4", F.concat(F.lit("guest-"), email)).alias("email"),
                 F.when(urgency < "4", F.struct(_s("o_custkey").alias("id"), email.alias("email"))).alias("customer"),
+                F.lower("o_orderstatus").alias("financial_status"),
                 _s("o_totalprice").alias("total_price"),
+                _s(F.floor("o_totalprice") + 0.5).alias("subtotal_price"),
+                F.when(urgency != "2", _s(F.floor(F.col("o_totalprice") / 10))).alias("total_discounts"),
+                F.when(urgency == "3", "n/a").otherwise(_s(F.floor(F.col("o_totalprice") / 20))).alias("total_tax"),
+                F.when(urgency != "1", "web").otherwise("").alias("source_name"),
+                F.concat(F.lit("https://ref.example.org/"), key % 9).alias("referring_site"),
                 F.get(pages, F.pmod(key, F.lit(len(VISITS))).cast("int")).alias("landing_site"),
                 F.lit("").alias("tags"),
                 F.when(F.col("l_returnflag") == "R", refunds).alias("refunds"),
@@ -91,9 +99,10 @@ def order_payloads(g: Given) -> DataFrame:
 
 
 ORDER_COLUMNS = (
-    "order_id", "order_name", "created_at", "order_date", "customer_id", "customer_email", "total_price", "line_item_id",
-    "product_id", "sku", "sku_title", "quantity", "unit_price", "line_discount", "is_refunded", "refund_date",
-    "refund_amount", "refund_reason", "landing_site", "utm_source", "utm_medium", "utm_campaign", "tags",
+    "order_id", "order_name", "created_at", "order_date", "customer_id", "customer_email", "financial_status", "total_price",
+    "subtotal_price", "total_discounts", "total_tax", "line_item_id", "product_id", "variant_id", "sku", "sku_title",
+    "variant_title", "quantity", "unit_price", "line_discount", "is_refunded", "refund_date", "refund_amount",
+    "refund_reason", "source_name", "landing_site", "referring_site", "utm_source", "utm_medium", "utm_campaign", "tags",
 )
 
 
@@ -122,6 +131,12 @@ def bulk_documents(g: Given) -> DataFrame:
                 F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("displayFinancialStatus"),
                 yen(F.floor("o_totalprice") + 0.5).alias("totalPriceSet"),
                 yen(F.floor(F.col("o_totalprice") / 2)).alias("totalRefundedSet"),
+                yen(F.floor(F.col("o_totalprice") / 3)).alias("subtotalPriceSet"),
+                yen(F.floor(F.col("o_totalprice") / 10)).alias("totalDiscountsSet"),
+                F.when(F.col("o_orderstatus") != "F", yen(F.floor(F.col("o_totalprice") / 20))).alias("totalTaxSet"),
+                F.concat(F.lit("/p/"), F.col("o_custkey") % 9, F.lit("?utm_source=news&utm_medium=email")).alias("landingPageUrl"),
+                F.lit("https://ref.example.org/").alias("referrerUrl"),
+                F.lit("web").alias("sourceName"),
                 F.array(F.lit("a"), F.lit("b")).alias("tags"),
             )
         ).alias("body"),
@@ -135,7 +150,10 @@ def bulk_documents(g: Given) -> DataFrame:
                 _s("l_partkey").alias("sku"),
                 F.col("l_quantity").cast("long").alias("quantity"),
                 yen("l_extendedprice").alias("originalUnitPriceSet"),
+                F.concat(F.lit("Part "), "l_partkey").alias("title"),
+                F.when(F.col("l_linestatus") == "O", "open").alias("variantTitle"),
                 F.struct(gid("Product", "l_partkey").alias("id")).alias("product"),
+                F.struct(gid("ProductVariant", F.concat("l_partkey", F.lit("v"))).alias("id")).alias("variant"),
                 F.array(
                     F.struct(yen(F.floor(F.col("l_discount") * 100 + 0.5)).alias("allocatedAmountSet")),
                     F.struct(yen(F.lit("0.5")).alias("allocatedAmountSet")),
@@ -160,11 +178,7 @@ def bulk_documents(g: Given) -> DataFrame:
 @query
 def ingest_orders_bulk(g: Given) -> DataFrame:
     rows = payloads.parse(bulk_documents(g), payloads.BULK)
-    return shop.orders_from_bulk(rows, RUN).select(
-        "order_id", "order_name", "order_date", "customer_id", "customer_email", "financial_status", "total_price",
-        "line_item_id", "product_id", "sku", "quantity", "unit_price", "line_discount", "is_refunded", "refund_date",
-        "refund_amount", "refund_reason", "tags",
-    )
+    return shop.orders_from_bulk(rows, RUN).select(*ORDER_COLUMNS)
 
 
 # ------------------------------------------------------------------ snapshots
@@ -413,7 +427,7 @@ def google_ads_view(g: Given) -> DataFrame:
 @query
 def meta_ads_view(g: Given) -> DataFrame:
     rows = g.table("lineitem")
-    insights = rows.filter(F.col("l_returnflag") == "A").select(
+    insights = rows.select(
         F.col("l_shipdate").cast("date").alias("DateStart"),
         _s("l_suppkey").alias("CampaignId"),
         F.concat(F.lit("camp "), "l_suppkey").alias("CampaignName"),
@@ -423,7 +437,7 @@ def meta_ads_view(g: Given) -> DataFrame:
         _s("l_linenumber").alias("Clicks"),
         F.concat(F.floor("l_extendedprice"), F.lit(".5")).alias("Spend"),
     )
-    actions = rows.filter(F.col("l_returnflag") == "R").select(
+    actions = rows.select(
         F.col("l_shipdate").cast("date").alias("DateStart"),
         _s("l_suppkey").alias("AdId"),
         F.when(F.col("l_linestatus") == "O", _s("l_linenumber")).otherwise("").alias("Action1dClick"),
