@@ -177,7 +177,7 @@ def bulk_documents(g: Given) -> DataFrame:
 
 @query
 def ingest_orders_bulk(g: Given) -> DataFrame:
-    rows = payloads.parse(bulk_documents(g), payloads.BULK)
+    rows = payloads.staged_bulk(payloads.parse(bulk_documents(g), payloads.BULK), io.shared_dir(g.spark, "bulk"))
     return shop.orders_from_bulk(rows, RUN).select(*ORDER_COLUMNS)
 
 

@@ -111,6 +111,23 @@ def read_bulk(spark: SparkSession, path: str) -> DataFrame:
     return with_position(spark.read.schema(BULK).option("mode", "FAILFAST").json(path))
 
 
+BULK_KINDS = ("Order", "LineItem", "Refund")
+
+
+def staged_bulk(rows: DataFrame, folder: str) -> DataFrame:
+    """The rows of a bulk export written to a new shared folder by kind, and read from there.
+
+    The texts are parsed once; every later step scans its kind only, and of it the columns it needs. Kinds that no job
+    reads are not written.
+    """
+    kind = F.lit(None).cast("string")
+    for k in BULK_KINDS:
+        kind = F.when(F.col("id").contains(f"/{k}/"), k).otherwise(kind)
+    rows.withColumn("kind", kind).filter("kind IS NOT NULL").write.partitionBy("kind").parquet(folder)
+    shape = T.StructType([*rows.schema.fields, T.StructField("kind", T.StringType())])
+    return rows.sparkSession.read.schema(shape).parquet(folder)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, pos, line) of text reports; splits of a large file are read by different tasks."""
     return with_position(spark.read.text(path), "at").select(

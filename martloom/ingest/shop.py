@@ -92,9 +92,10 @@ def orders_from_bulk(rows: DataFrame, run_at: dt.datetime) -> DataFrame:
     """The same rows out of a bulk export, in which lines and refunds point to their order by id.
 
     rows carries seq, the position in the export: of two copies of an order the later one counts, of
-    several refunds the first one.
+    several refunds the first one. Stage a large export first (payloads.staged_bulk): its kinds are read one by one.
     """
-    is_a = lambda kind: F.col("id").contains(f"/{kind}/")
+    staged = "kind" in rows.columns  # see payloads.staged_bulk
+    is_a = lambda kind: F.col("kind") == kind if staged else F.col("id").contains(f"/{kind}/")
     money = lambda c: to_int_half_even(F.col(f"{c}.shopMoney.amount").try_cast("double"))
 
     parentless = F.col("__parentId").isNull() | (F.col("__parentId") == "")

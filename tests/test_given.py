@@ -32,7 +32,7 @@ def test_query(spark, con, name):
 
 WRITES = {
     "ndjson_append_and_load", "csv_master_load", "day_partitions_restated", "stream_append", "stream_latest_state",
-    "declared_scan_rebuilt", "report_rebuilt_as_table", "append_with_stamp", "table_created_if_missing",
+    "declared_scan_rebuilt", "report_rebuilt_as_table", "append_with_stamp", "table_created_if_missing", "ingest_orders_bulk",
     "ordered_repeat_pattern", "ordered_storage_cost", "ordered_case_pipeline", "ordered_weekly_summaries",
 }
 
@@ -47,3 +47,8 @@ def test_plan_stays_in_the_engine(spark, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for word in ("NestedLoop", "CartesianProduct", "Python", "Pandas"):
         assert word not in plan
+
+
+def test_bulk_export_is_parsed_once(spark):
+    plan = QUERIES["ingest_orders_bulk"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "from_json(body" not in plan and "kind" in plan
