@@ -3,11 +3,14 @@
 The model has GRU units over words and an output in two steps: class of the word, word within its class. Words outside
 its vocabulary share one token and are told apart by their smoothed frequency among all training tokens, as the base
 does, so every text has a probability and the two can be compared. It is trained by backpropagation through windows of
-fixed length; scoring carries the state from window to window through a whole document.
+fixed length: first on a sample at the driver, which gives all tasks one start, then on every training text in Spark, each
+task by itself and the weights averaged between rounds. Scoring carries the state from window to window through a whole
+document.
 """
 
 from __future__ import annotations
 
+import copy
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -21,16 +24,22 @@ from pyspark.sql import functions as F
 
 from martloom.llm.text import SPACES, ascii_lower, documents, remainder, saved
 
-VOCABULARY = 1_000  # words of the recurrent model, the most frequent of all training tokens
+VOCABULARY = 50_000  # words of the recurrent model have at least one in so many training tokens, so there are at most so many
+LEAST = 5  # occurrences of a word of the recurrent model
 HIDDEN = 16
 WINDOW = 32  # steps of backpropagation and of scoring at a time
-STREAMS = 32  # texts read side by side in training
+STREAMS = 32  # texts read side by side in training at the driver
+WIDE = 128  # and in a task, at most
 LANES = 256  # texts read side by side in scoring
-TRAIN_TOKENS = 300_000  # tokens the recurrent weights are fitted on; counts come from all training texts
+TRAIN_TOKENS = 300_000  # tokens of the sample the recurrent weights start from; the rounds read all training texts
 TRAIN_DOCS = 1_000  # documents drawn to find them, about; twice as many at most
-LONGEST = 20_000  # bytes of a training text of the recurrent part
+LONGEST = 20_000  # bytes of a text of the sample; the rounds read longer ones as well
 EPOCHS = 2
 RATE = 0.01
+ROUND_RATES = (0.005, 0.0025)  # learning rate of each round; every training text is in one of them
+UPDATES = 64  # steps of Adam in a chunk at least, where it has the tokens
+CHUNK = 500_000  # tokens a task lays side by side, and the last text beyond
+SUMS = 8  # tasks that add up the weights of a round
 FREQUENT = 200_000  # words kept at hand in every task have at least one in so many training tokens, so there are at most so many
 STEP = 2_000  # documents scored at a time
 END = ""  # the token after the last word; no word is empty
@@ -100,60 +109,90 @@ class Recurrent:
 
     # ------------------------------------------------------------------ training
 
-    def fit(self, stream: np.ndarray, epochs: int = EPOCHS, rate: float = RATE) -> None:
-        """Adam on windows of STREAMS texts side by side; the state goes on to the next window, the gradient doesn't."""
-        steps = len(stream) // STREAMS
-        if steps < 2:
+    def fit(self, stream: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, wide: int = STREAMS, moments: dict | None = None) -> None:
+        """Adam on windows of texts side by side; the state goes on to the next window, the gradient doesn't.
+
+        Each token but the first is the goal of one step. `moments` are those of earlier calls and go on.
+        """
+        n = len(stream) - 1
+        if n < 1:
             return
-        lanes = stream[: steps * STREAMS].reshape(STREAMS, steps).T
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        n = 0
+        wide = min(wide, -(-n // WINDOW))
+        steps = -(-n // wide)
+
+        def laid(values: np.ndarray) -> np.ndarray:
+            return np.concatenate([values, np.zeros(steps * wide - n, values.dtype)]).reshape(wide, steps).T
+
+        inputs, targets, weights = laid(stream[:-1]), laid(stream[1:]), laid(np.ones(n, np.float32))
+        moments = {} if moments is None else moments
+        if not moments:
+            moments |= {"n": 0, "m": {k: np.zeros_like(v) for k, v in self.p.items()}, "s": {k: np.zeros_like(v) for k, v in self.p.items()}}
+        m, s = moments["m"], moments["s"]
         for _ in range(epochs):
-            h = np.zeros((STREAMS, self.hidden), np.float32)
-            for at in range(0, steps - 1, WINDOW):
-                inputs, targets = lanes[at : at + WINDOW], lanes[at + 1 : at + WINDOW + 1]
-                h, grads = self.window(inputs[: len(targets)], targets, h)
-                n += 1
+            h = np.zeros((wide, self.hidden), np.float32)
+            for at in range(0, steps, WINDOW):
+                part = slice(at, at + WINDOW)
+                h, grads = self.window(inputs[part], targets[part], h, weights[part])
+                moments["n"] += 1
+                first, second = 1 - 0.9 ** moments["n"], 1 - 0.99 ** moments["n"]
                 for k, g in grads.items():
-                    m[k] += 0.1 * (g - m[k])
-                    s[k] += 0.01 * (g * g - s[k])
-                    self.p[k] -= rate * (m[k] / (1 - 0.9**n)) / (np.sqrt(s[k] / (1 - 0.99**n)) + 1e-6)
-
-    def window(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-        """Forward over one window and gradients of its mean negative log probability."""
+                    m[k] *= 0.9
+                    m[k] += 0.1 * g
+                    g *= g
+                    g *= 0.01
+                    s[k] *= 0.99
+                    s[k] += g
+                    np.sqrt(s[k], out=g)
+                    g /= np.float32(math.sqrt(second))
+                    g += np.float32(1e-6)
+                    np.divide(m[k], g, out=g)
+                    g *= np.float32(rate / first)
+                    self.p[k] -= g
+
+    def window(
+        self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, weights: np.ndarray | None = None
+    ) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Forward over one window and gradients of its mean negative log probability; steps of weight 0 don't count."""
         p, k, steps = self.p, self.hidden, len(inputs)
-        past, kept = [], []
+        past, kept, states = [], [], []
+        x, fresh = p["x"][inputs], (inputs == 0)[:, :, None]
         for t in range(steps):
-            h = np.where((inputs[t] == 0)[:, None], 0, h)  # a new text starts
+            h = np.where(fresh[t], np.float32(0), h)  # a new text starts
             past.append(h)
-            h, z, r, cand = self.step(p["x"][inputs[t]], h)
+            h, z, r, cand = self.step(x[t], h)
             kept.append((z, r, cand))
-        states = np.stack([*past[1:], h])
-        # states[t] follows input t; where the next input starts a text its past was zeroed, so recompute the true state
-        states = np.stack([a + z * (c - a) for a, (z, _, c) in zip(past, kept)])
-        flat, goal = states.reshape(-1, k), targets.reshape(-1)
+            states.append(h)
+        flat, goal = np.stack(states).reshape(-1, k), targets.reshape(-1)
         grads = {name: np.zeros_like(v) for name, v in p.items()}
-        scale = np.float32(1 / len(goal))
+        scale = np.full(len(goal), 1 / len(goal), flat.dtype) if weights is None else (weights / max(weights.sum(), 1)).reshape(-1)
+        order = np.argsort(goal // self.per_class, kind="stable")  # goals of a class stand together
+        flat, goal, scale = flat[order], goal[order], scale[order, None]
         logits = flat @ p["c"] + p["cb"]
-        e = np.exp(logits - logits.max(axis=1, keepdims=True))
-        d = e / e.sum(axis=1, keepdims=True)
+        logits -= logits.max(axis=1, keepdims=True)
+        d = np.exp(logits, out=logits)
+        d /= d.sum(axis=1, keepdims=True)
         cls, within = goal // self.per_class, goal % self.per_class
-        d[np.arange(len(goal)), cls] -= 1
+        rows = np.arange(len(goal))
+        d[rows, cls] -= 1
         d *= scale
         grads["c"], grads["cb"] = flat.T @ d, d.sum(axis=0)
-        d_states = d @ p["c"].T
-        for c in np.unique(cls):
-            at = np.nonzero(cls == c)[0]
-            inner = flat[at] @ p["w"][c] + p["wb"][c]
-            e = np.exp(inner - inner.max(axis=1, keepdims=True))
-            d = e / e.sum(axis=1, keepdims=True)
-            d[np.arange(len(at)), within[at]] -= 1
-            d *= scale
+        d_sorted = d @ p["c"].T
+        edges = np.searchsorted(cls, np.arange(self.classes + 1))
+        for c in np.nonzero(np.diff(edges))[0]:
+            at = slice(edges[c], edges[c + 1])
+            inner = flat[at] @ p["w"][c]
+            inner += p["wb"][c]
+            inner -= inner.max(axis=1, keepdims=True)
+            d = np.exp(inner, out=inner)
+            d /= d.sum(axis=1, keepdims=True)
+            d[rows[: len(d)], within[at]] -= 1
+            d *= scale[at]
             grads["w"][c], grads["wb"][c] = flat[at].T @ d, d.sum(axis=0)
-            d_states[at] += d @ p["w"][c].T
-        d_states = d_states.reshape(states.shape)
-        back = np.zeros_like(h)
+            d_sorted[at] += d @ p["w"][c].T
+        d_states = np.empty_like(d_sorted)
+        d_states[order] = d_sorted
+        d_states = d_states.reshape(steps, -1, k)
+        back, d_x = np.zeros_like(h), np.empty((*inputs.shape, 3 * k), h.dtype)
         for t in reversed(range(steps)):
             z, r, cand = kept[t]
             a = past[t]
@@ -165,11 +204,24 @@ class Recurrent:
             gates = np.concatenate([d_z, d_r], axis=1)
             grads["n"] += (r * a).T @ d_cand
             grads["u"] += a.T @ gates
-            np.add.at(grads["x"], inputs[t], np.concatenate([gates, d_cand], axis=1))
-            back = dh * (1 - z) + through * r + gates @ p["u"].T
-            back[inputs[t] == 0] = 0
+            d_x[t, :, : 2 * k], d_x[t, :, 2 * k :] = gates, d_cand
+            back = np.where(fresh[t], np.float32(0), dh * (1 - z) + through * r + gates @ p["u"].T)
+        read = inputs.reshape(-1)
+        order = np.argsort(read, kind="stable")
+        tokens, starts = np.unique(read[order], return_index=True)
+        grads["x"][tokens] = np.add.reduceat(d_x.reshape(-1, 3 * k)[order], starts, axis=0)
         return h, grads
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
+
+    def set_flat(self, values: np.ndarray) -> None:
+        at = 0
+        for k in sorted(self.p):
+            size = self.p[k].size
+            self.p[k] = values[at : at + size].reshape(self.p[k].shape).astype(np.float32)
+            at += size
+
     # ------------------------------------------------------------------ scoring
 
     def encode(self, words: list[bytes]) -> np.ndarray:
@@ -221,8 +273,8 @@ class Recurrent:
         return total[: len(tokens)] / math.log(10)
 
 
-def train(sample: list[str | None], vocabulary: list[bytes], counts: np.ndarray) -> Recurrent:
-    """Fit the recurrent weights on the texts given, up to TRAIN_TOKENS tokens."""
+def start(sample: list[str | None], vocabulary: list[bytes], counts: np.ndarray) -> Recurrent:
+    """A model with weights fitted on the texts given, up to TRAIN_TOKENS tokens; the rounds go on from it."""
     model = Recurrent(vocabulary, counts)
     stream: list[int] = [0]
     for text in sample:
@@ -233,6 +285,68 @@ def train(sample: list[str | None], vocabulary: list[bytes], counts: np.ndarray)
     return model
 
 
+PASSED = "n long, weights binary"  # tokens read, and the weights after them
+
+
+def passes(spark: SparkSession, model: Recurrent, rate: float):
+    """Function for mapInPandas: one pass of a copy of the model over a partition's texts, all of them and whole."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, moments, n = copy.deepcopy(shared.value), {}, 0
+        parts, size = [], 0
+
+        def learn() -> None:
+            nonlocal parts, size, n
+            own.fit(np.concatenate([np.zeros(1, np.int32), *parts]), 1, rate, min(WIDE, max(1, size // (UPDATES * WINDOW))), moments)
+            n += size
+            parts, size = [], 0
+
+        end = np.zeros(1, np.int32)
+        for batch in batches:
+            for text in batch["text"]:
+                tokens = own.encode(words_of(text))
+                parts += [tokens, end]
+                size += len(tokens) + 1
+                if size >= CHUNK:
+                    learn()
+        if size:
+            learn()
+        if n:
+            yield pd.DataFrame({"n": [n], "weights": [own.flat().tobytes()]})
+
+    return run
+
+
+def _added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sum of weights times tokens, as doubles."""
+    n, total = 0, None
+    for batch in batches:
+        for tokens, weights in zip(batch["n"], batch["weights"]):
+            part = np.frombuffer(weights, np.float32) * float(tokens)
+            n, total = n + int(tokens), part if total is None else total + part
+    if total is not None:
+        yield pd.DataFrame({"n": [n], "weights": [total.astype(np.float64).tobytes()]})
+
+
+def fit_all(model: Recurrent, training: DataFrame, id_col: str, text_col: str) -> int:
+    """Rounds over all rows of `training`: every task trains a copy of the model on its part of the round's
+    texts, and the mean of the copies, by tokens, starts the next round. Returns the tokens read, an end for each text.
+
+    Which round a text is in hangs on its id alone. Copies depend on how the input is dealt into tasks, so scores do a little.
+    """
+    read = 0
+    for i, rate in enumerate(ROUND_RATES):
+        drawn = training.filter(F.pmod(F.xxhash64(id_col), F.lit(len(ROUND_RATES))) == i)
+        copies = saved(drawn.select(F.col(text_col).alias("text")).mapInPandas(passes(training.sparkSession, model, rate), PASSED))
+        sums = copies.coalesce(SUMS).mapInPandas(_added, PASSED).collect()
+        n = sum(r.n for r in sums)
+        if n:
+            model.set_flat(sum(np.frombuffer(r.weights, np.float64) for r in sums) / n)
+        read += n
+    return read
+
+
 READ = "n_tokens long, score double, n_known long, base double, outside long, outside_base double, rest array<struct<word:string,n:long>>"
 
 
@@ -283,8 +397,8 @@ def language_model_scores(docs: DataFrame, training: DataFrame, id_col: str = "d
     Counts are those of every token of `training`. Words with at least one in FREQUENT of all training tokens are at
     most FREQUENT words, which every task keeps at hand; a document's other words are looked up by a join on the word,
     after equal words of a document were added up, so no word brings more rows to the join than it has rare documents.
-    The recurrent part is fitted on a bounded sample (TRAIN_DOCS, TRAIN_TOKENS), its vocabulary and classes come from
-    all counts.
+    The recurrent part starts from a bounded sample (TRAIN_DOCS, TRAIN_TOKENS) and is then fitted on every training text;
+    its vocabulary and classes come from all counts.
 
     Null texts are empty: one token, the end. Without training texts N is 0, every token is unknown and the model is
     an even one. Repeated rows are each scored; other columns are ignored.
@@ -302,9 +416,10 @@ def language_model_scores(docs: DataFrame, training: DataFrame, id_col: str = "d
     place = F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < 1_000_000 * TRAIN_DOCS / max(n_docs, 1)
     drawn = training.filter(place & (F.octet_length(text_col) <= LONGEST)).select(F.col(text_col).alias("text"))
     sample = sorted((r.text for r in drawn.limit(2 * TRAIN_DOCS).collect()), key=lambda t: (crc32(t.encode("utf-8", "surrogatepass")), t))
-    own = top[:VOCABULARY]
+    own = [r for r in top if r.c >= max(LEAST, n / VOCABULARY)]
     n_outside, v_outside = n - n_docs - sum(r.c for r in own), facts.v - len(own)
-    model = train(sample, list(frequent)[:VOCABULARY], np.array([n_docs, n_outside, *(r.c for r in own)], float))
+    model = start(sample, list(frequent)[: len(own)], np.array([n_docs, n_outside, *(r.c for r in own)], float))
+    fit_all(model, training, id_col, text_col)
     among_outside = math.log10(divisor / (n_outside + 0.5 * (v_outside + 1)))
 
     read = reader(spark, model, frequent, log(n_docs) if n_docs else None)

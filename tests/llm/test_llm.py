@@ -221,6 +221,17 @@ def test_model_gradients_and_mass():
     assert np.allclose(model.score([np.array([5] * 70), np.array([2, 3, 4]), np.array([], int)])[1], one)
 
 
+def test_model_learns_from_every_training_text(spark):
+    cycle = "one two three four five six seven eight "
+    rows = [(i, cycle * 1_000) for i in range(16)] + [(16, cycle), (17, None), (None, "nine " * 5)]
+    training = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = np.array([len(rows), 0, *[16_001] * 8, 5], float)
+    model = language_model.Recurrent([w.encode() for w in (cycle + "nine").split()], counts)
+    assert language_model.fit_all(model, training, "doc_id", "text") == 16_001 * 8 + 5 + len(rows)
+    (scored,) = language_model.language_model_scores(spark.createDataFrame([(9, cycle * 20)], "doc_id long, text string"), training).collect()
+    assert scored.score > scored.base_score * 0.8  # long texts alone hold the order of the words
+
+
 def test_classifier_learns_words_and_bent_words():
     rnd = random.Random(4)
     words = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
