@@ -87,59 +87,75 @@ def chunks_of(text: str) -> tuple[list[int], list[int], np.ndarray]:
     return chars[starts].tolist(), chars[ends].tolist(), np.frombuffer(digests, "<i8").reshape(-1, 2)
 
 
-CHUNKS = "id long, start int, end int, d1 long, d2 long"
+CHUNKS = "row long, id long, start int, end int, d1 long, d2 long"
 
 
 def _chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for at in range(0, len(batch), 500):
-            ids, starts, ends, digests = [], [], [], [np.zeros((0, 2), np.int64)]
+            rows, ids, starts, ends, digests = [], [], [], [], [np.zeros((0, 2), np.int64)]
             part = batch.iloc[at : at + 500]
-            for i, text in zip(part.id, part.text):
+            for row, i, text in zip(part.row, part.id, part.text):
                 s, e, d = chunks_of(text)
+                rows += [row] * len(s)
                 ids += [i] * len(s)
                 starts += s
                 ends += e
                 digests.append(d)
             d = np.concatenate(digests)
-            yield pd.DataFrame({"id": ids, "start": starts, "end": ends, "d1": d[:, 0], "d2": d[:, 1]})
+            yield pd.DataFrame({"row": rows, "id": ids, "start": starts, "end": ends, "d1": d[:, 0], "d2": d[:, 1]})
 
 
 NO_ID = -(1 << 63)  # stands for a null id
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST) -> DataFrame:
-    """Passages that other documents hold too: doc_id, start, end (code points), n_chunks, n_removed, first_doc_id, kept.
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows with a text: row (a number no other row has), id, text. The number holds only until it is read again."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    return rows.filter(F.length("text") > 0)
 
-    A chunk is repeated when its digest occurs in two documents or more; neighbouring repeated chunks are one passage,
-    reported from `shortest` characters on. Each chunk stays in the document with the smallest id that has it
-    (n_removed counts the others); first_doc_id is the smallest such id of a passage, and `kept` is true when all of it
-    stays. A passage's first and last chunk may reach beyond it in a document where its surroundings differ, so up to
-    about 60 characters at either end are not reported.
+
+def _passages(rows: DataFrame, shortest: int, within: bool) -> DataFrame:
+    """Passages of numbered rows: row, id, start, end, n_chunks, n_removed, first."""
+    chunks = saved(rows.mapInPandas(_chunked, CHUNKS))
+    place = F.struct("id", "row", "start")
+    repeated = F.count(F.lit(1)) > 1 if within else F.max("row") != F.min("row")
+    shared = chunks.groupBy("d1", "d2").agg(F.min(place).alias("at"), repeated.alias("repeated")).filter("repeated")
+    shared = saved(shared.select("d1", "d2", F.col("at.id").alias("first"), F.col("at.row").alias("first_row"), F.col("at.start").alias("first_start")))
+    removed = (F.col("first_row") != F.col("row")) | (F.col("first_start") != F.col("start"))
+    found = chunks.join(shared, ["d1", "d2"]).select("row", "id", "start", "end", "first", removed.cast("int").alias("removed"))
+    by_place = Window.partitionBy("row").orderBy("start")
+    opened = found.withColumn("opens", (F.coalesce(F.lag("end").over(by_place), F.lit(-1)) < F.col("start")).cast("int"))
+    numbered = opened.withColumn("passage", F.sum("opens").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
+    passages = numbered.groupBy("row", "passage").agg(
+        F.min("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"),
+        F.sum("removed").alias("n_removed"), F.min("first").alias("first"),
+    )
+    return passages.filter(F.col("end") - F.col("start") >= shortest)
+
+
+def repeated_passages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST, within: bool = False
+) -> DataFrame:
+    """Passages that other rows hold too: doc_id, start, end (code points), n_chunks, n_removed, first_doc_id, kept.
+
+    A chunk is repeated when its digest occurs in two rows or more, or, with `within`, at two places of the same row;
+    neighbouring repeated chunks are one passage, reported from `shortest` characters on. Each chunk stays at its first
+    place, in the row with the smallest id (n_removed counts the others); first_doc_id is the smallest such id of a
+    passage, and `kept` is true when all of it stays. A passage's first and last chunk may reach beyond it in a document
+    where its surroundings differ, so up to about 60 characters at either end are not reported.
 
     Digests are counted before the shuffle, and the join that finds repeated chunks has both sides straight from a
-    shuffle, so a chunk that every document has is split at run time. Null and empty texts have no chunks. Rows that
-    share an id are one document; null ids are one document as well, named null. An empty table gives an empty
-    result; other columns are ignored.
+    shuffle, so a chunk that every document has is split at run time. Null and empty texts have no chunks. Every row is
+    a document of its own: of rows that share an id, or have none, one comes first. Null ids are smaller than all
+    others. An empty table gives an empty result; other columns are ignored.
     """
-    rows = docs.filter(F.length(text_col) > 0).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
-    chunks = rows.mapInPandas(_chunked, CHUNKS)
-    shared = chunks.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last")
-    shared = saved(shared.select("d1", "d2", "first"))
-    found = chunks.join(shared, ["d1", "d2"]).select("id", "start", "end", "first")
-    by_place = Window.partitionBy("id").orderBy("start", "end")
-    reached = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
-    opened = found.withColumn("opens", (F.coalesce(reached, F.lit(-1)) < F.col("start")).cast("int"))
-    numbered = opened.withColumn("passage", F.sum("opens").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
-    removed = F.sum((F.col("first") != F.col("id")).cast("int"))
-    passages = numbered.groupBy("id", "passage").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"), removed.alias("n_removed"), F.min("first").alias("first")
-    )
+    passages = _passages(_numbered(docs, id_col, text_col), shortest, within)
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return passages.filter(F.col("end") - F.col("start") >= shortest).select(
+    return passages.select(
         named("id").alias("doc_id"), "start", "end", "n_chunks", "n_removed", named("first").alias("first_doc_id"), (F.col("n_removed") == 0).alias("kept")
     )
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(documents(spark, sf_dir))
+    return repeated_passages(documents(spark, sf_dir), within=True)

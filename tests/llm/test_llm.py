@@ -280,6 +280,19 @@ def test_a_passage_of_two_documents_is_found(spark):
         assert rows[r.doc_id - 1][1][r.start : r.end] in passage
 
 
+def test_passages_of_one_row_and_of_rows_without_ids(spark):
+    rnd = random.Random(8)
+    some = lambda k: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(k))
+    own, shared = some(60), some(60)
+    rows = [(1, f"{own} {some(40)} {own}"), (None, f"{some(20)} {shared}"), (None, f"{shared} {some(30)}"), (2, some(100))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    found = substring_dedup.repeated_passages(frame, within=True).collect()
+    assert sorted((r.doc_id or 0, r.kept) for r in found) == [(0, False), (0, True), (1, False), (1, True)]
+    for r in found:
+        assert any(t[r.start : r.end] in (own if i else shared) for i, t in rows if i == r.doc_id)
+    assert {r.doc_id for r in substring_dedup.repeated_passages(frame).collect()} == {None}
+
+
 def test_pipeline_stages(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     frame = spark.read.parquet(f"{SMALL}/documents.parquet")
