@@ -13,6 +13,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from martloom.llm.text import documents, saved
 
@@ -116,7 +117,7 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _passages(rows: DataFrame, shortest: int, within: bool) -> DataFrame:
-    """Passages of numbered rows: row, id, start, end, n_chunks, n_removed, first."""
+    """Passages of numbered rows, ended where chunks that stay meet others: row, id, start, end, n_chunks, n_removed, first."""
     chunks = saved(rows.mapInPandas(_chunked, CHUNKS))
     place = F.struct("id", "row", "start")
     repeated = F.count(F.lit(1)) > 1 if within else F.max("row") != F.min("row")
@@ -126,12 +127,16 @@ def _passages(rows: DataFrame, shortest: int, within: bool) -> DataFrame:
     found = chunks.join(shared, ["d1", "d2"]).select("row", "id", "start", "end", "first", removed.cast("int").alias("removed"))
     by_place = Window.partitionBy("row").orderBy("start")
     opened = found.withColumn("opens", (F.coalesce(F.lag("end").over(by_place), F.lit(-1)) < F.col("start")).cast("int"))
-    numbered = opened.withColumn("passage", F.sum("opens").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
-    passages = numbered.groupBy("row", "passage").agg(
+    turned = opened.withColumn("turns", F.greatest("opens", F.abs(F.col("removed") - F.lag("removed", 1, 0).over(by_place))))
+    so_far = by_place.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = turned.withColumn("stretch", F.sum("opens").over(so_far)).withColumn("passage", F.sum("turns").over(so_far))
+    passages = numbered.groupBy("row", "stretch", "passage").agg(
         F.min("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"),
         F.sum("removed").alias("n_removed"), F.min("first").alias("first"),
     )
-    return passages.filter(F.col("end") - F.col("start") >= shortest)
+    whole = Window.partitionBy("row", "stretch")
+    sized = passages.withColumn("size", F.max("end").over(whole) - F.min("start").over(whole))
+    return sized.filter(F.col("size") >= shortest).drop("size", "stretch", "passage")
 
 
 def repeated_passages(
@@ -140,9 +145,10 @@ def repeated_passages(
     """Passages that other rows hold too: doc_id, start, end (code points), n_chunks, n_removed, first_doc_id, kept.
 
     A chunk is repeated when its digest occurs in two rows or more, or, with `within`, at two places of the same row;
-    neighbouring repeated chunks are one passage, reported from `shortest` characters on. Each chunk stays at its first
-    place, in the row with the smallest id (n_removed counts the others); first_doc_id is the smallest such id of a
-    passage, and `kept` is true when all of it stays. A passage's first and last chunk may reach beyond it in a document
+    neighbouring repeated chunks are reported from `shortest` characters on. Each chunk stays at its first place, in the
+    row with the smallest id; where chunks that stay meet chunks that don't, a passage ends and the next begins, so
+    `kept` holds for all of a passage (n_removed is 0, or n_chunks) and one copy of everything is kept. first_doc_id is
+    the smallest id its chunks stay in. A passage's first and last chunk may reach beyond it in a document
     where its surroundings differ, so up to about 60 characters at either end are not reported.
 
     Digests are counted before the shuffle, and the join that finds repeated chunks has both sides straight from a
@@ -157,5 +163,27 @@ def repeated_passages(
     )
 
 
+@F.pandas_udf(StringType())
+def _cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    """Texts without their spans, which are sorted and apart."""
+    cut = ["".join(t[a:b] for a, b in zip([0, *e], [*s, len(t)])) for t, s, e in zip(texts, starts, ends)]
+    return pd.Series(cut, dtype=object)
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST) -> DataFrame:
+    """The rows of `docs`, with the passages that are not kept cut out of their texts; a text may become empty.
+
+    Repeats within a row count as well. Of every repeated chunk one copy stays. Null and empty texts pass as they are.
+    """
+    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
+    texts = rows.filter(F.length(text_col) > 0)
+    numbered = texts.select(F.col("_row").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    gone = _passages(numbered, shortest, True).filter("n_removed > 0")
+    gone = saved(gone.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_gone")))
+    cut = rows.join(gone, "_row", "left").withColumn("_cut", F.col("_gone").isNotNull())
+    done = cut.filter("_cut").withColumn(text_col, _cut(F.col(text_col), F.col("_gone.start"), F.col("_gone.end")))
+    return done.unionByName(cut.filter("NOT _cut")).select(*docs.columns)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir), within=True)

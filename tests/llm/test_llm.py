@@ -293,6 +293,22 @@ def test_passages_of_one_row_and_of_rows_without_ids(spark):
     assert {r.doc_id for r in substring_dedup.repeated_passages(frame).collect()} == {None}
 
 
+def test_of_each_repeated_passage_one_copy_stays(spark):
+    rnd = random.Random(9)
+    some = lambda k: " ".join("".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(k))
+    a, b = some(60), some(60)
+    rows = [(1, f"{a} {some(40)}"), (5, f"{some(40)} {a} {b} {some(40)}"), (9, f"{some(20)} {b} {some(40)}"), (10, None), (11, ""), (12, b)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.repeated_passages(frame).collect()
+    assert all(r.n_removed == (0 if r.kept else r.n_chunks) for r in found)
+    assert {(1, True), (5, False), (5, True), (9, False), (12, False)} <= {(r.doc_id, r.kept) for r in found}
+    left = {r.doc_id: r.text for r in substring_dedup.without_repeats(frame).collect()}
+    assert len(left) == len(rows) and left[1] == rows[0][1] and left[10] is None and left[11] == ""
+    middle = lambda t: t[100:-100]
+    assert [sum(middle(p) in (t or "") for t in left.values()) for p in (a, b)] == [1, 1]
+    assert len(left[12]) < 150 and middle(b) in left[5] and middle(a) not in left[5]
+
+
 def test_pipeline_stages(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     frame = spark.read.parquet(f"{SMALL}/documents.parquet")
