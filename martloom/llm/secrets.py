@@ -17,6 +17,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = rf"[0-9a-f]{{{HEX_LENGTH},}}"  # runs are maximal, so shorter ones need no dropping
 SHORTEST = 20
 ENCODED = rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}={{0,2}}"
+# a run as a whole and its pieces between separators: a key may follow a prefix or stand in a path
+RUNS = [ENCODED, *(rf"[A-Za-z0-9{inner}]{{{SHORTEST},}}={{0,2}}" for inner in ("+/", "_-", ""))]
 KINDS = ("assign", "access", "hex", "random")
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,10 +27,12 @@ ENCODINGS = {
     "hex": (r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", DIGITS + LOWER[:6], 0.115),
     "HEX": (r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", DIGITS + UPPER[:6], 0.115),
     "base32": (r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", UPPER + "234567", 0.065),
+    "BASE36": (r"^(?=(?:[^0-9]*[0-9]){2})(?=.*[A-Z])[A-Z0-9]+$", UPPER + DIGITS, 0.06),
     "base36": (r"^(?=(?:[^0-9]*[0-9]){4})(?=.*[a-z])[a-z0-9]+$", LOWER + DIGITS, 0.06),
     "base62": (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9]+$", UPPER + LOWER + DIGITS, 0.06),
     "base64": (r"^(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+=*$", UPPER + LOWER + DIGITS + "+/", 0.06),
     "base64url": (r"^(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+=*$", UPPER + LOWER + DIGITS + "-_", 0.06),
+    "base38url": (r"^(?=(?:[^0-9]*[0-9]){4})(?=.*[a-z])[a-z0-9_-]+$", LOWER + DIGITS + "-_", 0.06),
 }
 REJECT = 1e-3  # a string is not random when the corrected smallest p-value of the battery is below
 FDR = 0.05
@@ -141,8 +145,10 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
 
     Base spans: assignments to a secret's name with a value of 8 characters or more, access keys, runs of hex digits;
     leftmost and non-overlapping for each kind, in code points. Strings of 20 characters or more of an encoding's
-    alphabet go through the battery, and those that pass at a false-discovery rate of `rate` over the whole table are
-    added with kind "random". They may coincide with base spans, which stay.
+    alphabet go through the battery, whole runs and their pieces between separators, and those that pass at a
+    false-discovery rate of `rate` over the whole table are added with kind "random", but for pieces of others that
+    pass. They may coincide with base spans, which stay. Letters of one case without a digit are not tested: words put
+    together look as even at these lengths.
 
     Null and empty texts have no spans; repeated rows are judged each; an empty table gives an empty result; other
     columns are ignored. Regexes run only on texts that pass plain substring checks no match can fail.
@@ -164,11 +170,15 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
     )
     assigned = F.transform(assigned, lambda s: F.struct(s.start.alias("start"), s.end.alias("end")))
     access = F.filter(match_spans(F.col("text"), ACCESS), lambda s: s.end - s.start >= ACCESS_LENGTH)
-    encoded = F.zip_with(
-        match_spans(F.col("text"), ENCODED),
-        F.regexp_extract_all("text", F.lit(ENCODED), F.lit(0)),
-        lambda s, t: F.struct(s.start.alias("start"), s.end.alias("end"), t.alias("token")),
-    )
+    runs = [
+        F.zip_with(
+            match_spans(F.col("text"), run),
+            F.regexp_extract_all("text", F.lit(run), F.lit(0)),
+            lambda s, t: F.struct(s.start.alias("start"), s.end.alias("end"), t.alias("token")),
+        )
+        for run in RUNS
+    ]
+    encoded = F.array_distinct(F.concat(*runs))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("lowered", lowered)
     rows = rows.select("doc_id", "text", gate.alias("named"), F.col("text").rlike(ENCODED).alias("encoded"))
     tested_none = F.expr("CAST(array() AS array<struct<start:int,end:int,enc:string,p_text:double,p_random:double>>)")
@@ -181,7 +191,9 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
     )
     rows = saved(rows)
     level = discovery_level(rows, rate)
-    passed = F.filter("tested", lambda s: _level(s) >= level)
+    rows = rows.withColumn("passed", F.filter("tested", lambda s: _level(s) >= level))
+    inside = lambda s, o: (o.start <= s.start) & (o.end >= s.end) & (o.end - o.start > s.end - s.start)
+    passed = F.filter("passed", lambda s: ~F.exists("passed", lambda o: inside(s, o)))
 
     def tagged(kind: str, spans: Column | str) -> Column:
         return F.transform(spans, lambda s: F.struct(s.start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s.end.alias("end"), F.lit(kind).alias("kind")))

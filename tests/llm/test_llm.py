@@ -170,6 +170,22 @@ def test_secrets_by_brute_force(spark):
     assert len(random_spans[2]) == len(random_spans[3]) == 1 and not random_spans[4] and not random_spans[5]
 
 
+def test_keys_behind_prefixes_in_paths_and_in_upper_case(spark):
+    rnd = random.Random(3)
+    token = lambda n, a: "".join(rnd.choice(a) for _ in range(n))
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kinds = [
+        lambda: ("", token(44, upper + digits)), lambda: ("key-", token(44, lower + digits)), lambda: ("/v1_x/", token(44, digits + "abcdef")),
+        lambda: ("a_b/", token(44, lower + upper + digits + "+/")),
+    ]
+    keys = [kinds[i % 4]() for i in range(80)]
+    frame = spark.createDataFrame([(i, f"see {a}{k} here") for i, (a, k) in enumerate(keys)], "doc_id long, text string")
+    found = {r.doc_id: [s for s in r.found if s.kind == "random"] for r in secrets.secrets(frame).collect()}
+    for kind in range(4):
+        hit = [any(s.end == 4 + len(a + k) and s.start <= 4 + len(a) for s in found[i]) for i, (a, k) in enumerate(keys) if i % 4 == kind]
+        assert sum(hit) >= 17, kind
+
+
 def test_license_rules_and_overlaps(spark):
     assert len(rules()) > 200
     for r in rules():
