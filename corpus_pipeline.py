@@ -16,9 +16,9 @@ from martloom.llm.text import documents, shared_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the classifier gives less than 0.3."""
+    """Documents the classifier doesn't flag, by the threshold of their language."""
     scored = toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.filter(F.col("score") < toxicity.PREDICTED).select(*docs.columns)
+    return scored.filter(~F.col("flagged")).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from martloom.llm.text import WORD, documents, remainder
 
 SAMPLE = 2_000  # labelled documents of each class, at most
-LONGEST = 20_000  # bytes of a training text; longer labelled texts are not trained on (they are scored whole)
+APART = 5  # one in so many learning rows is kept out of training, for the thresholds
+GRID = 1_000  # steps of the score at which thresholds are tried
 BUCKETS = 1 << 18
 PREFIXES = (4, 6)  # bytes; words that are bent or put together share a beginning
 PARTS = 1 + len(PREFIXES)  # embeddings of a word: its own and those of its beginnings
@@ -142,23 +143,29 @@ class Constant:
         return np.full(len(texts), self.share)
 
 
+def learning_rows(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic, apart) of all labelled ids but those held out; `apart` marks those kept for the thresholds."""
+    known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return known.filter(remainder("doc_id", 4) != 2).withColumn("apart", remainder("doc_id", APART) == 0)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> tuple[pd.DataFrame, float]:
     """At most `sample` labelled texts of each class, those with the smallest hash of their id, and the share of toxic rows.
 
-    The ids of the sample are at most twice `sample` rows, which bounds what is broadcast to find their texts.
+    The ids of the sample are at most twice `sample` rows, which bounds what is broadcast to find their texts. Texts are
+    taken whole, whatever their length.
     """
-    known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.filter(remainder("doc_id", 4) != 2)
+    known = learning_rows(labels)
     share = known.agg(F.avg("toxic")).first()[0]
-    chosen = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
-    ids = F.broadcast(chosen[0].union(chosen[1]).withColumnRenamed("doc_id", "_id"))
-    found = docs.join(ids, docs["doc_id"] == ids["_id"]).filter(F.octet_length("text") <= LONGEST)
+    chosen = [known.filter(~F.col("apart") & (F.col("toxic") == y)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
+    ids = F.broadcast(chosen[0].union(chosen[1]).select(F.col("doc_id").alias("_id"), "toxic"))
+    found = docs.join(ids, docs["doc_id"] == ids["_id"]).filter(F.col("text").isNotNull())
     rows = found.select("_id", "toxic", "text", "lang").orderBy(F.xxhash64("_id"), "_id", "text", "lang").limit(2 * sample)
     return pd.DataFrame([r.asDict() for r in rows.collect()], columns=["_id", "toxic", "text", "lang"]), share or 0.0
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Classifier | Constant, dict[str | None, float]]:
-    """The model, and for each language of the sample the threshold with the best F1 on it (a language without toxic rows has none)."""
+    """The model, and for each language a threshold (a language without toxic rows among those kept apart has none)."""
     rows, share = labelled_sample(docs, labels, sample)
     y = rows.toxic.to_numpy(float)
     if len(set(y)) < 2:
@@ -168,22 +175,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Cla
     model.start_from(texts, y)
     model.fit(texts, y)
     model.shift = float(np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean())))
-    scores = model.scores(rows.text.tolist())
-    thresholds = {}
-    for lang in set(rows.lang):
-        of = (rows.lang == lang).to_numpy()
-        if y[of].sum():
-            thresholds[lang] = best_threshold(scores[of], y[of])
-    return model, thresholds
+    return model, thresholds_of(model, docs, labels)
+
+
+def thresholds_of(model: Classifier, docs: DataFrame, labels: DataFrame) -> dict[str | None, float]:
+    """For each language the threshold with the best F1 on all learning rows kept out of training, in their own class shares.
+
+    They are scored in Spark; what reaches the driver is a count for each language, class and step of the score.
+    """
+    apart = learning_rows(labels).filter("apart").select(F.col("doc_id").alias("_id"), "toxic")
+    rows = docs.join(apart, docs["doc_id"] == apart["_id"]).select("lang", "toxic", scorer(docs.sparkSession, model)(F.col("text")).alias("score"))
+    level = F.floor(F.col("score") * GRID).cast("int").alias("level")
+    counts: dict[str | None, dict[int, list[int]]] = {}
+    for r in rows.select("lang", "toxic", level).groupBy("lang", "toxic", "level").count().collect():
+        counts.setdefault(r["lang"], {}).setdefault(r["level"], [0, 0])[r["toxic"]] += r["count"]
+    return {lang: best_threshold(of) for lang, of in counts.items() if any(toxic for _, toxic in of.values())}
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """Midpoint below the score at which F1 is best."""
-    order = np.argsort(-scores, kind="stable")
-    s, hits = scores[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(s) + 1) + y.sum())
-    at = int(f1.argmax())
-    return float((s[at] + (s[at + 1] if at + 1 < len(s) else 0.0)) / 2)
+def best_threshold(counts: dict[int, list[int]]) -> float:
+    """Midpoint below the step at which F1 is best, from (clean, toxic) counts of each step of the score."""
+    levels = sorted(counts, reverse=True)
+    n = np.array([counts[v] for v in levels])
+    hits = np.cumsum(n[:, 1])
+    at = int((2 * hits / (np.cumsum(n.sum(axis=1)) + hits[-1])).argmax())
+    below = levels[at + 1] + 1 if at + 1 < len(levels) else 0
+    return (levels[at] + below) / 2 / GRID
 
 
 def scorer(spark: SparkSession, model: Classifier | Constant):
@@ -201,6 +217,7 @@ def scorer(spark: SparkSession, model: Classifier | Constant):
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """`docs` with score (0 to 1) and flagged, by the threshold of the row's language (0.3 where it has none).
 
+    Thresholds come from learning rows that the model was not trained on.
     Labels are learned from rows whose crc32(doc_id as text) mod 4 is not 2; the score sees the text only. Null and
     empty texts get the score of no evidence. Repeated labels of an id count once, as toxic if any says so; null labels
     and ids are skipped; with no labels, or of one class only, every score is the share of toxic labels. Columns of

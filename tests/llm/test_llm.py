@@ -262,6 +262,19 @@ def test_classifier_learns_words_and_bent_words():
     assert len(model.scores([None, "", LONG])) == 3
 
 
+def test_thresholds_come_from_rows_kept_apart_and_decide(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{'vile' if i % 3 == 0 else 'kind'} " * 9, "en") for i in range(1, 200)] + [(3000, LONG, "en")], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    learning = {r.doc_id: r.apart for r in toxicity.learning_rows(labels).collect()}
+    assert 0 < sum(learning.values()) < len(learning) / 2 and not learning[3000]
+    used = set(toxicity.labelled_sample(docs, labels, 2_000)[0]._id)
+    assert used == {i for i, apart in learning.items() if not apart}
+    assert toxicity.best_threshold({900: [0, 5], 200: [1, 4], 100: [50, 0]}) == 0.1505
+    flagged = docs.limit(5).withColumn("score", F.lit(0.1)).withColumn("flagged", F.col("doc_id") < 3)
+    monkeypatch.setattr(toxicity, "toxicity", lambda *_: flagged)
+    assert corpus_pipeline.drop_toxic(spark, docs, SMALL).count() == 3
+
+
 def test_cuts_and_shifts():
     draw = np.random.default_rng(0)
     for n in (0, 1, 40, 41, 500, 3000):
