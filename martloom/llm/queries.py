@@ -9,6 +9,7 @@ from martloom.llm.langid import op2_language_id
 from martloom.llm.language_model import op8_language_model
 from martloom.llm.licenses import op7_licenses
 from martloom.llm.mixing import OP6_SQL, op6_mix_sources
+from martloom.llm.quality import op13_quality
 from martloom.llm.secrets import op1_secrets
 from martloom.llm.simhash import op10_simhash
 from martloom.llm.spelling import op12_spelling_variants
@@ -20,7 +21,7 @@ QUERIES = {
     for f in (
         op1_secrets, op2_language_id, op3_decontaminate, op4_exact_dedup, op5_substring_dedup, op6_mix_sources, op7_licenses,
         op8_language_model, op9_toxicity, op10_simhash, op11_fill_in_middle,
-        op12_spelling_variants,
+        op12_spelling_variants, op13_quality,
     )
 }
 
