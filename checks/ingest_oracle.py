@@ -273,6 +273,21 @@ sql(
     SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY sku ORDER BY inserted_at DESC) = 1""",
 )
 
+ORACLE["stream_state_compacted"] = ORACLE["stream_latest_state"]
+sql(
+    "stream_append_once",
+    "",
+    "x AS (SELECT 1) SELECT o_orderkey AS order_id, o_orderstatus, o_orderdate::TIMESTAMP AS created_at FROM orders",
+)
+sql(
+    "stream_two_sides",
+    "",
+    """d AS (SELECT CASE WHEN o_orderkey < 1000 THEN 0 ELSE 1 END AS v, o_orderkey AS id,
+        CASE WHEN o_orderkey % 7 > 1 THEN floor(o_totalprice)::BIGINT END AS price FROM orders)
+    SELECT v, CASE WHEN price IS NULL THEN 'rejected' ELSE 'row' END AS kind, id, price FROM d
+    UNION ALL SELECT v, 'log', count(*), count(price) FROM d GROUP BY v""",
+)
+
 sql(
     "declared_scan_rebuilt",
     "history",

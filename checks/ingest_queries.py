@@ -534,11 +534,7 @@ def utm_from_url(g: Given) -> DataFrame:
 @query
 def documents_and_rejects(g: Given) -> DataFrame:
     """Order documents, some cut off and some with a text where a number belongs: fields of the good ones, the rest named."""
-    key = F.col("o_orderkey")
-    whole = F.to_json(F.struct(key.alias("id"), F.when(key % 7 == 1, "many").otherwise(F.floor("o_totalprice").cast("string")).alias("price")))
-    unquoted = F.regexp_replace(whole, r'"price":"(\d+)"', r'"price":$1')
-    texts = g.table("orders").select("o_orderkey", unquoted.alias("b"))
-    bodies = texts.select(F.when(key % 7 == 0, F.expr("left(b, length(b) - 1)")).otherwise(F.col("b")).alias("body"))
+    bodies = _cut_documents(g).select("body")
     good, bad = payloads.parse_or_reject(bodies, "id bigint, price bigint")
     named = bad.select(F.regexp_extract("body", r'"id":(\d+)', 1).cast("long").alias("id"), F.lit(None).cast("long").alias("price"), F.lit(True).alias("rejected"))
     return good.select("id", "price", F.lit(False).alias("rejected")).unionByName(named)
@@ -590,6 +586,50 @@ def stream_append(g: Given) -> DataFrame:
     return g.spark.read.parquet(f"{base}/rows")
 
 
+@query
+def stream_append_once(g: Given) -> DataFrame:
+    """Order heads fetched in three increments, each from the newest stored one on, and landed as files: the orders of the
+    mark's day arrive twice and are appended once."""
+    base = io.shared_dir(g.spark, "once")
+    heads = _order_heads(g)
+    schema = struct("order_id I!, o_orderstatus S, created_at T")
+    g.spark.createDataFrame([], schema).write.parquet(f"{base}/rows")
+    for reached in ("1994-06-30", "1996-06-30", "2100-01-01"):
+        stored = g.spark.read.schema(schema).parquet(f"{base}/rows")
+        new = keyed.since_mark(heads.filter(F.col("created_at") <= F.lit(reached).cast("timestamp")), stored, "created_at", "1900-01-01", inclusive=True)
+        new.write.mode("append").json(f"{base}/landed")
+        source = landing.landed(g.spark, f"{base}/landed", schema)
+        landing.append_once_stream(source, lambda df: df, ["order_id"], "2 days", f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    return g.spark.read.schema(schema).parquet(f"{base}/rows")
+
+
+def _cut_documents(g: Given) -> DataFrame:
+    """Order documents of which one in seven is cut off and one in seven has a text where a number belongs."""
+    key = F.col("o_orderkey")
+    whole = F.to_json(F.struct(key.alias("id"), F.when(key % 7 == 1, "many").otherwise(F.floor("o_totalprice").cast("string")).alias("price")))
+    unquoted = F.regexp_replace(whole, r'"price":"(\d+)"', r'"price":$1')
+    texts = g.table("orders").select("o_orderkey", unquoted.alias("b"))
+    return texts.select("o_orderkey", F.when(key % 7 == 0, F.expr("left(b, length(b) - 1)")).otherwise(F.col("b")).alias("body"))
+
+
+@query
+def stream_two_sides(g: Given) -> DataFrame:
+    """Documents landed in two parts, good and bad ones mixed: rows of the good, the bad ones by name, and the log."""
+    base = io.shared_dir(g.spark, "sides")
+    schema = struct("id I, price I")
+    for part in (F.col("o_orderkey") < 1000, F.col("o_orderkey") >= 1000):
+        _cut_documents(g).filter(part).select("body").write.mode("append").text(f"{base}/landed")
+        texts = landing.landed_texts(g.spark, f"{base}/landed")
+        landing.two_sided_stream(texts, "id bigint, price bigint", lambda df: df.select("id", "price"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    v = F.col("_version").alias("v")
+    side = lambda name, shape: landing.read_side(g.spark, f"{base}/out", name, shape)
+    good = side("rows", schema).select(v, F.lit("row").alias("kind"), "id", "price")
+    named = F.regexp_extract("body", r'"id":(\d+)', 1).cast("long").alias("id")
+    bad = side("rejected", landing.TEXTS).select(v, F.lit("rejected").alias("kind"), named, F.lit(None).cast("long").alias("price"))
+    log = side("log", landing.LOG).select(v, F.lit("log").alias("kind"), F.col("landed").alias("id"), F.col("accepted").alias("price"))
+    return good.unionByName(bad).unionByName(log)
+
+
 @query
 def stream_latest_state(g: Given) -> DataFrame:
     """Price sightings landed in files, folded batch by batch into the newest price per SKU."""
@@ -600,7 +640,24 @@ def stream_latest_state(g: Given) -> DataFrame:
     landing.latest_state_stream(
         source, lambda df: df, ["sku"], "inserted_at", schema, f"{base}/state", f"{base}/checkpoint"
     ).awaitTermination()
-    return io.read_version(g.spark, f"{base}/state", schema)
+    return landing.read_state(g.spark, f"{base}/state", schema, ["sku"])
+
+
+@query
+def stream_state_compacted(g: Given) -> DataFrame:
+    """The same state when it is compacted between two runs; the second brings the sightings of the last year only."""
+    base = io.shared_dir(g.spark, "compacted")
+    schema = struct("sku S!, inserted_at T!, cost_price I")
+    rows = g.products_daily.select(*schema.fieldNames())
+    late = F.col("inserted_at") >= F.lit("1998-01-01").cast("timestamp")
+    for part in (~late, late):
+        rows.filter(part).write.mode("append").json(f"{base}/landed")
+        source = landing.landed(g.spark, f"{base}/landed", schema)
+        landing.latest_state_stream(
+            source, lambda df: df, ["sku"], "inserted_at", schema, f"{base}/state", f"{base}/checkpoint"
+        ).awaitTermination()
+        landing.compact_state(g.spark, f"{base}/state", schema, ["sku"])
+    return landing.read_state(g.spark, f"{base}/state", schema, ["sku"])
 
 
 @query

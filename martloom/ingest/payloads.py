@@ -76,16 +76,22 @@ def parse(df: DataFrame, schema: str, text: str = "body") -> DataFrame:
     return df.select(*others, once(F.from_json(text, schema, STRICT)).alias("_p")).select(*others, "_p.*")
 
 
+def judged(df: DataFrame, schema: str, text: str = "body") -> DataFrame:
+    """df with `doc`, the fields of the document, and `rejected`: whether the text is null or does not fit."""
+    shape = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("_corrupt", T.StringType())])
+    parsed = df.select("*", once(F.from_json(text, shape, {"columnNameOfCorruptRecord": "_corrupt"})).alias("doc"))
+    bad = F.col("doc").isNull() | F.col("doc._corrupt").isNotNull()
+    return parsed.withColumn("rejected", bad).withColumn("doc", F.when(~bad, F.col("doc").dropFields("_corrupt")))
+
+
 def parse_or_reject(df: DataFrame, schema: str, text: str = "body") -> tuple[DataFrame, DataFrame]:
     """Fields of the documents that fit, and the rows of those that don't, for loads that go on without them.
 
     Every row of df is in exactly one of the two; a null text is rejected.
     """
+    both = judged(df, schema, text)
     others = [c for c in df.columns if c != text]
-    shape = T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("_corrupt", T.StringType())])
-    parsed = df.withColumn("_p", F.from_json(text, shape, {"columnNameOfCorruptRecord": "_corrupt"}))
-    bad = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
-    return parsed.filter(~bad).select(*others, "_p.*").drop("_corrupt"), parsed.filter(bad).select(*df.columns)
+    return both.filter("NOT rejected").select(*others, "doc.*"), both.filter("rejected").select(*df.columns)
 
 
 def read_json(spark: SparkSession, path: str, schema: str, one_per_file: bool = False) -> DataFrame:

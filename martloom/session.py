@@ -16,6 +16,13 @@ ADAPTIVE = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Streaming state on local disk, with its log in the checkpoint folder, instead of on the heap: for streams whose keys
+# outgrow the executors' memory. Set before a stream's first run; its checkpoint holds on to it.
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """Pin the session time zone; every job reads timestamps as UTC."""

@@ -134,10 +134,10 @@ def restate_days(
         filled = {r[0] for r in df.select(day).distinct().collect()}  # a row per day of the window at most
         days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
         for empty in (d for d in days if d not in filled):
-            _remove(df.sparkSession, f"{path}/{day}={empty.isoformat()}")
+            remove(df.sparkSession, f"{path}/{day}={empty.isoformat()}")
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -150,25 +150,32 @@ def last_days(df: DataFrame, day: str, as_of: dt.date, n: int) -> DataFrame:
 # ------------------------------------------------------------------ versions of a state table
 
 
+def version_path(root: str, version: int) -> str:
+    return f"{root}/v={version:010d}"
+
+
 def write_version(df: DataFrame, root: str, version: int) -> str:
     """A state table is never rewritten in place: each version has its folder, complete once _SUCCESS is
     there. Writing a version again after a failure replaces the half-written one."""
-    path = f"{root}/v={version:010d}"
+    path = version_path(root, version)
     df.write.mode("overwrite").parquet(path)
     return path
 
 
-def current_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
-    """Highest complete version (below a bound), None when there is none."""
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """The complete versions, lowest first."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(root)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(folder):
-        return None
+        return []
     names = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("v=")]
-    done = [int(p.getName()[2:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    done = [v for v in done if below is None or v < below]
-    return max(done, default=None)
+    return sorted(int(p.getName()[2:]) for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def current_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    """Highest complete version (below a bound), None when there is none."""
+    return max((v for v in versions(spark, root) if below is None or v < below), default=None)
 
 
 def read_version(spark: SparkSession, root: str, schema: T.StructType, version: int | None = None) -> DataFrame:
@@ -177,4 +184,13 @@ def read_version(spark: SparkSession, root: str, schema: T.StructType, version:
         version = current_version(spark, root)
     if version is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/v={version:010d}")
+    return spark.read.schema(schema).parquet(version_path(root, version))
+
+
+def read_versions(spark: SparkSession, root: str, schema: T.StructType, which: Sequence[int]) -> DataFrame:
+    """Several versions as one table, with the number of each row's version, _version; an empty table for none."""
+    if not which:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_version", T.LongType())]))
+    rows = spark.read.schema(schema).parquet(*[version_path(root, v) for v in which])
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/v=(\d+)/[^/]*$", 1).cast("long")
+    return rows.select(*schema.fieldNames(), number.alias("_version"))
