@@ -31,7 +31,8 @@ def test_query(spark, con, name):
 
 
 WRITES = {
-    "ndjson_append_and_load", "csv_master_load", "day_partitions_restated", "stream_append", "stream_latest_state",
+    "ndjson_append_and_load", "csv_master_load", "day_partitions_restated", "stream_append", "stream_append_once",
+    "stream_two_sides", "stream_latest_state", "stream_state_compacted",
     "declared_scan_rebuilt", "report_rebuilt_as_table", "append_with_stamp", "table_created_if_missing", "ingest_orders_bulk",
     "ordered_repeat_pattern", "ordered_storage_cost", "ordered_case_pipeline", "ordered_weekly_summaries",
 }

@@ -20,7 +20,7 @@ from martloom.functions.scalars import (
     url_path,
     week_start,
 )
-from martloom.operators.joins import list_days, newest_before, point_in_time, prefix_totals, valid_on
+from martloom.operators.joins import list_days, may_hold, newest_before, place, point_in_time, prefix_totals, segments, text_filters, valid_on
 from martloom.operators.keyed import between_stamps, high_water_mark, latest_wins, since_mark, upsert, upsert_with_history
 from martloom.operators.periods import overlaps, value_periods
 from martloom.operators.quantiles import histogram_quartiles
@@ -90,19 +90,50 @@ def test_valid_on_drops_and_multiplies(spark):
     assert rows(valid_on(facts, rules, "day", ["fee"]), "n", "fee") == [(2, 10), (2, 20), (3, 20)]
 
 
+@pytest.mark.parametrize("cells", [1, 3, 7, 1_023])
+def test_valid_on_against_all_pairs(spark, cells):
+    """Rules that overlap, repeat, touch, end before they begin, last one day or have no end, in few cells and in many."""
+    rnd = random.Random(cells)
+    at = lambda n: D("2024-01-01") + dt.timedelta(days=n)
+    spans = [(a := rnd.randint(0, 300), a + rnd.choice((-1, 0, 0, 5, 40, 200))) for _ in range(40)] + [(10, 20), (10, 20), (21, 30), (600, 640)]
+    rules = [(at(a), at(b), i) for i, (a, b) in enumerate(spans)] + [(None, at(5), 98), (at(5), None, 99)]
+    facts = [(i, at(rnd.randint(-20, 700))) for i in range(400)] + [(900, None), (901, at(640)), (902, at(641)), (903, at(599))]
+    got = valid_on(
+        spark.createDataFrame(facts, "n int, day date"), spark.createDataFrame(rules, "valid_from date, valid_to date, fee int"), "day", ["fee"], cells
+    )
+    assert got.columns == ["n", "day", "fee"]
+    assert rows(got, "n", "fee") == sorted(((n, f) for n, d in facts for a, b, f in rules if d and a and b and a <= d <= b), key=str)
+    none = spark.createDataFrame([], "valid_from date, valid_to date, fee int")
+    assert valid_on(spark.createDataFrame(facts, "n int, day date"), none, "day", ["fee"], cells).count() == 0
+
+
+def test_facts_meet_segments_by_cell(spark):
+    """Overlaps are cut once, and no day falls into two segments of a cell."""
+    day = lambda s: D(f"2024-{s}")
+    rules = spark.createDataFrame([(day("01-01"), day("03-31"), 1), (day("02-01"), day("02-29"), 2)], "valid_from date, valid_to date, fee int")
+    cut = rows(segments(rules, ["fee"], 1_023), "_cell", "_from", "_to", "fee")
+    assert cut == [
+        (0, day("01-01"), day("01-31"), 1), (1, day("02-01"), day("02-29"), 1), (1, day("02-01"), day("02-29"), 2), (2, day("03-01"), day("03-31"), 1),
+    ]
+    assert {r[0] for r in rows(segments(rules, ["fee"], 2), "_cell")} == {0, 1}
+    places = spark.range(9).select(place(F.array(F.lit(1), F.lit(3), F.lit(6)), F.col("id"), 3).alias("p"))
+    assert [r.p for r in places.collect()] == [-1, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
 def test_list_days_keeps_rows_without_start(spark):
     df = spark.createDataFrame([(1, D("2024-01-01")), (2, None)], "n int, start date")
     got = rows(list_days(df, F.col("start"), 2, "day"), "n", "day")
     assert got == [(1, D("2024-01-01")), (1, D("2024-01-02")), (1, D("2024-01-03")), (2, None)]
 
 
-def test_prefix_totals_against_all_pairs(spark):
+@pytest.mark.parametrize("bits", [64, 1 << 19])
+def test_prefix_totals_against_all_pairs(spark, bits):
     rnd = random.Random(3)
     word = lambda n: "/" + "".join(rnd.choice("ab/") for _ in range(rnd.randint(0, n)))
     texts = [(m, word(6), rnd.randint(1, 9)) for m in (1, 2, 3) for _ in range(60)]
     prefixes = sorted({(m, word(4)) for m in (1, 2) for _ in range(30)}) + [(1, None)]
     got = prefix_totals(
-        spark.createDataFrame(texts, "m int, text string, v long"), "text", spark.createDataFrame(prefixes, "m int, p string"), "p", "m", {"s": "v"}
+        spark.createDataFrame(texts, "m int, text string, v long"), "text", spark.createDataFrame(prefixes, "m int, p string"), "p", "m", {"s": "v"}, bits
     )
     got = {(m, p): s for m, p, s in rows(got, "m", "p", "s") if (m, p) in set(prefixes)}
     want = {}
@@ -113,6 +144,25 @@ def test_prefix_totals_against_all_pairs(spark):
     assert got == want
 
 
+def test_pieces_that_are_no_prefix_stay_behind(spark):
+    """Of 20,000 paths with six pieces each, a hundredth matches: what is summed and shuffled is that and a few by chance."""
+    texts = spark.range(20_000).selectExpr("1 AS m", "concat('/shop/', id % 5000, '/item/', id) AS text", "id AS v")
+    prefixes = spark.range(2_000).selectExpr("1 AS m", "concat('/', if(id < 50, concat('shop/', id, '/'), concat('help', repeat('x', int(id % 9)), id))) AS p")
+    got = prefix_totals(texts, "text", prefixes, "p", "m", {"s": "v"}).join(prefixes, ["m", "p"], "left_anti")
+    every = prefix_totals(texts, "text", prefixes, "p", "m", {"s": "v"}, 64)
+    assert got.count() < 200 and every.count() > 50_000
+
+
+def test_filters_hold_what_went_in(spark):
+    words = spark.range(3_000).selectExpr("id % 3 AS g", "concat('w', id) AS t").unionByName(spark.createDataFrame([(0, None), (None, "x")], "g long, t string"))
+    filters = text_filters(words, "t", "g")
+    sizes = filters.select("g", F.size("_words").alias("n")).collect()
+    assert {(r.g, r.n) for r in sizes} == {(g, (1 << 19) // 64) for g in range(3)}
+    tried = words.unionByName(spark.range(30_000).selectExpr("id % 3 AS g", "concat('other', id) AS t")).join(filters, "g")
+    hits = {r.own: r.n for r in tried.filter(may_hold(F.col("_words"), F.col("t"))).groupBy(F.col("t").startswith("w").alias("own")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert hits[True] == 3_000 and hits.get(False, 0) < 20
+
+
 def test_newest_before_against_all_pairs(spark):
     rnd = random.Random(5)
     day = lambda: D("2024-01-01") + dt.timedelta(days=rnd.randint(0, 200))
