@@ -256,6 +256,13 @@ sql(
     """SELECT day AS data_date, (sum(clicks) + CASE WHEN DATE '2001-08-01' - day BETWEEN 0 AND 6 THEN count(*) ELSE 0 END)::BIGINT AS clicks,
               count(*) AS n FROM history WHERE day <> DATE '2001-07-30' GROUP BY day""",
 )
+sql(
+    "backfill_resumed",
+    "history",
+    """SELECT day AS data_date, (sum(clicks) + CASE WHEN DATE '2001-08-01' - day BETWEEN 0 AND 250 THEN count(*) ELSE 0 END)::BIGINT AS clicks,
+              count(*) AS n, '-1,2' AS loaded FROM history WHERE day <> DATE '2001-08-01' - 100 GROUP BY day""",
+)
+ORACLE["profile_from_buckets"] = ORACLE["ec_customer_profile"]
 sql(
     "documents_and_rejects",
     "",

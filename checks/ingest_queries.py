@@ -574,6 +574,42 @@ def day_partitions_restated(g: Given) -> DataFrame:
     return stored.groupBy("data_date").agg(F.sum("clicks").alias("clicks"), F.count(F.lit(1)).alias("n"))
 
 
+@query
+def backfill_resumed(g: Given) -> DataFrame:
+    """A history loaded again in chunks of 90 days with corrected clicks. The second chunk fails when it is first fetched; the
+    run is started again and goes on from there. A day that is empty when fetched again loses its rows."""
+    out = io.shared_dir(g.spark, "backfill")
+    io.write_by_day(g.sc_history, f"{out}/history", "data_date", ["query"])
+    gone = F.col("data_date") == F.lit(SHOP_DAY - dt.timedelta(days=100))
+    failures = iter([False, True])
+
+    def fetch(first: dt.date, last: dt.date) -> DataFrame:
+        if next(failures, False):
+            raise ConnectionError("cut off")
+        days = g.sc_history.filter(F.col("data_date").between(F.lit(first), F.lit(last)) & ~gone)
+        return days.withColumn("clicks", F.col("clicks") + 1)
+
+    chunks = io.chunks_of(SHOP_DAY - dt.timedelta(days=250), SHOP_DAY, 90)
+    loaded = []
+    for _ in range(2):
+        try:
+            loaded.append(io.backfill(fetch, chunks, f"{out}/history", "data_date", f"{out}/log", g.spark, ["query"]))
+        except ConnectionError:
+            loaded.append(-io.chunks_done(g.spark, f"{out}/log").count())
+    stored = g.spark.read.schema(io.SCHEMAS["sc_history"]).parquet(f"{out}/history")
+    days = stored.groupBy("data_date").agg(F.sum("clicks").alias("clicks"), F.count(F.lit(1)).alias("n"))
+    return days.withColumn("loaded", F.lit(",".join(map(str, loaded))))
+
+
+@query
+def profile_from_buckets(g: Given) -> DataFrame:
+    """The customer profile over order lines stored in buckets of customers: nothing is shuffled."""
+    out = io.shared_dir(g.spark, "buckets")
+    name = f"lines_{uuid.uuid4().hex}"
+    io.write_bucketed(g.orders, name, "customer_email", 8, out)
+    return reports.ec_customer_profile(g.spark.table(name), SHOP_DAY, generated_at=SHOP_NOW)
+
+
 @query
 def stream_append(g: Given) -> DataFrame:
     """Landed order documents streamed into rows; a second run finds nothing new."""

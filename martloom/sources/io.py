@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,39 +102,102 @@ def create_if_missing(spark: SparkSession, table: str, name: str | None = None)
 
 
 def _by_day(df: DataFrame, day: str, cluster: Sequence[str]) -> DataFrame:
-    # rebalance brings a day together where it fits a task and splits a day that does not
-    return df.hint("rebalance", day).sortWithinPartitions(day, *cluster)
+    """Rows dealt to tasks by ranges of day and cluster columns: the files of a day hold ranges that don't overlap, so a
+    filter on the first cluster column leaves out files as well as row groups. The bounds come from a sample of df, which
+    is read for it once more. Equal values are told apart by the other columns, so one that holds much of a day is split.
+    """
+    if not cluster:
+        # rebalance brings a day together where it fits a task and splits a day that does not
+        return df.hint("rebalance", day)
+    rest = [f.name for f in df.schema.fields if f.name not in {day, *cluster} and not isinstance(f.dataType, T.MapType)]
+    return df.repartitionByRange(day, *cluster, F.xxhash64(*rest) if rest else F.lit(0)).sortWithinPartitions(day, *cluster)
 
 
 def write_by_day(df: DataFrame, path: str, day: str, cluster: Sequence[str] = ()) -> None:
-    """A table partitioned by day; rows of a file are ordered by the cluster columns, so that filters on
-    them can skip row groups."""
+    """A table partitioned by day, whose files are ranges of the cluster columns and in their order."""
     _by_day(df, day, cluster).write.mode("overwrite").partitionBy(day).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A table dealt by key into a fixed number of buckets, each sorted by it: jobs that group or join by the key, alone or
+    with other columns, read it without a shuffle. Buckets follow the key, so one that holds much of the table is hot."""
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
 def restate_days(
     df: DataFrame, path: str, day: str, cluster: Sequence[str] = (), window: tuple[dt.date, dt.date] | None = None
 ) -> None:
     """Replace the days that occur in df, leave all other days of the table alone.
 
     With a window (first and last day, both included) df is all there is of it: days of the window that df has no
-    rows for lose theirs. They are removed after the write, so a run that fails in between is completed by the next.
+    rows for lose theirs. df is read once, into a hidden folder of the table; the rows and the list of their days both
+    come from there. Empty days are removed after the write, so a run that fails in between is completed by the next.
     """
+    spark = df.sparkSession
     if window is not None:
         df = df.filter(F.col(day).between(*map(F.lit, window)))
-    (
-        _by_day(df, day, cluster)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(path)
-    )
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    try:
+        rows = spark.read.schema(df.schema).parquet(staged)
+        filled = {r[0] for r in rows.select(day).distinct().collect()} if window else set()  # days of the window at most
+        (
+            _by_day(rows, day, cluster)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(day)
+            .parquet(path)
+        )
+    finally:
+        remove(spark, staged)
     if window is not None:
         first, last = window
-        filled = {r[0] for r in df.select(day).distinct().collect()}  # a row per day of the window at most
         days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
         for empty in (d for d in days if d not in filled):
-            remove(df.sparkSession, f"{path}/{day}={empty.isoformat()}")
+            remove(spark, f"{path}/{day}={empty.isoformat()}")
+
+
+# ------------------------------------------------------------------ backfills
+
+CHUNK = T.StructType([T.StructField("first", T.DateType()), T.StructField("last", T.DateType()), T.StructField("rows", T.LongType())])
+
+
+def chunks_of(first: dt.date, last: dt.date, days: int) -> list[tuple[dt.date, dt.date]]:
+    """The days from first to last, both included, in chunks of so many days; the last chunk may be shorter."""
+    starts = [first + dt.timedelta(days=n) for n in range(0, (last - first).days + 1, days)]
+    return [(a, min(a + dt.timedelta(days=days - 1), last)) for a in starts]
+
+
+def chunks_done(spark: SparkSession, log: str) -> DataFrame:
+    """(first, last, rows) of the chunks a backfill has finished."""
+    return read_versions(spark, log, CHUNK, versions(spark, log)).drop("_version")
+
+
+def backfill(
+    fetch: Callable[[dt.date, dt.date], DataFrame],
+    chunks: Sequence[tuple[dt.date, dt.date]],
+    path: str,
+    day: str,
+    log: str,
+    spark: SparkSession,
+    cluster: Sequence[str] = (),
+) -> int:
+    """Load a long time chunk by chunk, so that a failure costs one chunk; the number of chunks loaded now.
+
+    fetch gives the rows of the days from first to last, both included. Each chunk restates its days, days without rows
+    included, and is then noted in the log. A run that is started again leaves out the chunks noted there and repeats the
+    one that failed as a whole, which replaces what it had written. Empty the log to load everything again.
+    """
+    done = {(r["first"], r["last"]) for r in chunks_done(spark, log).collect()}  # a row per chunk
+    new = [c for c in chunks if c not in done]
+    for first, last in new:
+        rows = fetch(first, last)
+        restate_days(rows, path, day, cluster, (first, last))
+        stored = spark.read.schema(rows.schema).parquet(path).filter(F.col(day).between(F.lit(first), F.lit(last)))
+        noted = stored.agg(F.lit(first).alias("first"), F.lit(last).alias("last"), F.count(F.lit(1)).alias("rows"))
+        write_version(noted, log, first.toordinal())
+    return len(new)
 
 
 def remove(spark: SparkSession, folder: str) -> None:

@@ -32,7 +32,7 @@ def test_query(spark, con, name):
 
 WRITES = {
     "ndjson_append_and_load", "csv_master_load", "day_partitions_restated", "stream_append", "stream_append_once",
-    "stream_two_sides", "stream_latest_state", "stream_state_compacted",
+    "backfill_resumed", "profile_from_buckets", "stream_two_sides", "stream_latest_state", "stream_state_compacted",
     "declared_scan_rebuilt", "report_rebuilt_as_table", "append_with_stamp", "table_created_if_missing", "ingest_orders_bulk",
     "ordered_repeat_pattern", "ordered_storage_cost", "ordered_case_pipeline", "ordered_weekly_summaries",
 }
@@ -50,6 +50,16 @@ def test_plan_stays_in_the_engine(spark, name):
         assert word not in plan
 
 
+def test_buckets_spare_the_shuffle(spark):
+    """Two scans of the lines, grouped by customer with other columns and joined by customer, without an exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["profile_from_buckets"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+
+
 def test_bulk_export_is_parsed_once(spark):
     plan = QUERIES["ingest_orders_bulk"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "from_json(body" not in plan and "kind" in plan

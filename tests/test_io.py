@@ -1,5 +1,6 @@
 from types import SimpleNamespace
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,57 @@ def test_days_are_restated_alone(spark, make, tmp_path):
     assert "PartitionFilters: [isnotnull(data_date" in plan
 
 
+def test_files_of_a_day_are_ranges_of_the_cluster_column(spark, tmp_path):
+    """A point filter needs one file of a large day, or two where a value is at a border; a value that is half of a day is
+    spread over files all the same."""
+    path = str(tmp_path / "clustered")
+    rows_ = spark.range(40_000).selectExpr("date'2024-01-01' + cast(id % 2 AS int) AS data_date", "concat('q', lpad(if(id % 4 < 2, 777, id % 997), 4, '0')) AS query", "id AS clicks")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so few rows would be put together again
+    try:
+        io.write_by_day(rows_.repartition(6), path, "data_date", ["query"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for day in ("2024-01-01", "2024-01-02"):
+        files = [pq.ParquetFile(f) for f in sorted((tmp_path / "clustered" / f"data_date={day}").glob("*.parquet"))]
+        spans = sorted((g.column(0).statistics.min, g.column(0).statistics.max) for f in files for g in (f.metadata.row_group(i) for i in range(f.num_row_groups)))
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        assert sum(a <= "q0123" <= b for a, b in spans) <= 1 < len(spans)
+    assert sum(a <= "q0777" <= b for a, b in spans) > 1
+    stored = spark.read.parquet(path)
+    assert stored.count() == 40_000 and stored.filter("query = 'q0777'").count() > 20_000
+
+
+def test_restating_reads_its_input_once(spark, tmp_path):
+    path, reads = str(tmp_path / "history"), spark.sparkContext.accumulator(0)
+    feed = spark.createDataFrame([("2024-01-01", "a", 1), ("2024-01-03", "b", 2)], "d string, query string, clicks long")
+    counted = feed.rdd.map(lambda r: (reads.add(1), r)[1]).toDF(feed.schema).selectExpr("date(d) AS data_date", "query", "clicks")
+    io.restate_days(counted, path, "data_date", ["query"], (D("2024-01-01"), D("2024-01-03")))
+    assert reads.value == 2
+    assert rows(spark.read.parquet(path), "query", "clicks") == [("a", 1), ("b", 2)]
+    assert not list((tmp_path / "history").glob("_staged*"))
+
+
+def test_backfill_goes_on_where_it_failed(spark, tmp_path):
+    path, log, asked = str(tmp_path / "t"), str(tmp_path / "log"), []
+    assert io.chunks_of(D("2024-01-01"), D("2024-01-07"), 3) == [(D("2024-01-01"), D("2024-01-03")), (D("2024-01-04"), D("2024-01-06")), (D("2024-01-07"), D("2024-01-07"))]
+    chunks = io.chunks_of(D("2024-01-01"), D("2024-01-07"), 3)
+
+    def fetch(first, last, broken=False):
+        asked.append(first.day)
+        rows_ = spark.range(7).selectExpr("date'2024-01-01' + cast(id AS int) AS d", "id").filter(F.col("d").between(F.lit(first), F.lit(last)) & (F.col("id") != 2))
+        # fails while its rows are written, after some of them are
+        return rows_.withColumn("id", F.expr("if(id = 4, raise_error('cut off'), id)").cast("long")) if broken else rows_
+
+    with pytest.raises(Exception, match="cut off"):
+        io.backfill(lambda a, b: fetch(a, b, a.day == 4), chunks, path, "d", log, spark)
+    assert rows(io.chunks_done(spark, log)) == [(D("2024-01-01"), D("2024-01-03"), 2)]
+    assert rows(spark.read.parquet(path), "id") == [(0,), (1,)]
+    assert io.backfill(fetch, chunks, path, "d", log, spark) == 2
+    assert asked == [1, 4, 4, 7] and io.backfill(fetch, chunks, path, "d", log, spark) == 0
+    assert rows(spark.read.parquet(path), "id") == [(0,), (1,), (3,), (4,), (5,), (6,)]
+    assert [r[2] for r in rows(io.chunks_done(spark, log))] == [2, 3, 1]
+
+
 def test_versions(spark, tmp_path):
     root, schema = str(tmp_path / "state"), struct("k S!, v I")
     assert io.current_version(spark, root) is None and io.read_version(spark, root, schema).count() == 0
