@@ -201,6 +201,56 @@ sql(
            (DATE '2000-01-01' + c_nationkey)::DATE::VARCHAR AS since FROM c""",
 )
 
+_DRIFTING = """c AS (SELECT c_custkey AS k, c_nationkey AS nation, c_acctbal AS acctbal FROM customer),
+    d AS (SELECT k, k % 8 = 5 AS texts,
+        CASE WHEN k % 8 = 5 THEN 'n/a' WHEN k % 4 = 0 THEN floor(acctbal)::BIGINT::VARCHAR END AS budget,
+        CASE WHEN k % 4 = 1 AND k % 8 <> 5 THEN '{"nation":' || nation || ',"note":"x"}' END AS extra,
+        CASE WHEN k % 4 = 2 THEN k % 8 = 2 END AS opened,
+        CASE WHEN k % 8 = 5 THEN 'none' WHEN k % 4 = 2 THEN '[' || nation || ',7]' END AS areas,
+        CASE WHEN k % 4 = 3 THEN '2020-01-01' END AS since,
+        CASE WHEN k % 8 = 5 THEN nation::DECIMAL(10, 2) WHEN k % 4 = 3 THEN nation + 0.25 END AS rate, nation
+        FROM c)"""
+sql(
+    "entities_of_any_shape",
+    "",
+    _DRIFTING
+    + """ SELECT k AS source_row, k AS id, budget, extra, opened AS "contact opened", areas, since,
+        rate::DECIMAL(4, 2) AS rate, NULL::VARCHAR AS rejected FROM d WHERE k % 11 <> 0
+    UNION ALL SELECT k, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+        '{"id":' || k || CASE WHEN budget IS NULL THEN '' WHEN texts THEN ',"budget":"n/a"' ELSE ',"budget":' || budget END
+        || CASE WHEN extra IS NULL THEN '' ELSE ',"extra":' || extra END
+        || CASE WHEN opened IS NULL THEN '' ELSE ',"contact opened":' || opened END
+        || CASE WHEN areas IS NULL THEN '' WHEN texts THEN ',"areas":"none"' ELSE ',"areas":' || areas END
+        || CASE WHEN since IS NULL THEN '' ELSE ',"since":"2020-01-01"' END
+        || CASE WHEN rate IS NULL THEN '' WHEN texts THEN ',"rate":' || nation ELSE ',"rate":' || rate END
+    FROM d WHERE k % 11 = 0""",
+)
+sql(
+    "entity_fields",
+    "",
+    _DRIFTING
+    + """, f AS (
+        SELECT 'id' AS field, 'number' AS kind, k::VARCHAR AS value, k FROM d
+        UNION ALL SELECT 'budget', CASE WHEN texts THEN 'string' ELSE 'number' END, budget, k FROM d WHERE budget IS NOT NULL
+        UNION ALL SELECT 'extra', 'object', extra, k FROM d WHERE extra IS NOT NULL
+        UNION ALL SELECT 'contact opened', 'boolean', opened::VARCHAR, k FROM d WHERE opened IS NOT NULL
+        UNION ALL SELECT 'areas', CASE WHEN texts THEN 'string' ELSE 'array' END, areas, k FROM d WHERE areas IS NOT NULL
+        UNION ALL SELECT 'since', 'string', since, k FROM d WHERE since IS NOT NULL
+        UNION ALL SELECT 'rate', 'number', CASE WHEN texts THEN nation::VARCHAR ELSE rate::VARCHAR END, k FROM d WHERE rate IS NOT NULL)
+    SELECT field, kind, count(*) AS n, min(value) AS least, max(value) AS greatest FROM f WHERE k % 11 <> 0 GROUP BY ALL""",
+)
+sql(
+    "price_quartiles_from_sketches",
+    "",
+    "x AS (SELECT 1) SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n, true AS all_near FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL",
+)
+sql(
+    "heavy_suppliers_from_sketches",
+    "",
+    """n AS (SELECT l_suppkey AS supplier, count(*) AS n FROM lineitem GROUP BY ALL)
+    SELECT supplier, n FROM n WHERE n > (SELECT avg(n) FROM n)""",
+)
+
 _HEADS = "h AS (SELECT o_orderkey AS order_id, o_orderstatus, o_orderdate AS created_at FROM orders)"
 _MARK = "(SELECT max(created_at) FROM h WHERE o_orderstatus = 'F' AND created_at < TIMESTAMP '2001-01-01')"
 sql("increment_from_mark", "", f"{_HEADS} SELECT * FROM h WHERE created_at >= {_MARK}")

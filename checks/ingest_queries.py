@@ -14,7 +14,7 @@ from checks.queries import query
 from martloom.functions import utm
 from martloom.functions.scalars import url_host, url_path
 from martloom.ingest import entities, marketing, payloads, shop
-from martloom.operators import keyed
+from martloom.operators import keyed, sketches
 from martloom.plans import leasing
 from martloom.plans import shop as reports
 from martloom.sources import io
@@ -464,6 +464,71 @@ def ingest_entities(g: Given) -> DataFrame:
     return _unstamped(entities.flat_rows(rows, RUN))
 
 
+def _drifting_documents(g: Given) -> DataFrame:
+    """Customer documents whose fields come and go and change their types; one in eleven is cut off."""
+    k = F.col("c_custkey")
+    nation = F.col("c_nationkey")
+    only = lambda n, x: F.when(k % 4 == n, x)
+    numbers = F.to_json(
+        F.struct(
+            k.alias("id"), only(0, F.floor("c_acctbal")).alias("budget"), only(1, F.struct(nation.alias("nation"), F.lit("x").alias("note"))).alias("extra"),
+            only(2, k % 8 == 2).alias("contact opened"), only(2, F.array(nation, F.lit(7))).alias("areas"),
+            only(3, F.lit("2020-01-01")).alias("since"), only(3, F.concat(nation, F.lit(".25")).cast("decimal(10,2)")).alias("rate"),
+        )
+    )
+    # the same fields with values of another type: a text for the number, a text for the list, a whole number for the rate
+    texts = F.to_json(F.struct(k.alias("id"), F.lit("n/a").alias("budget"), F.lit("none").alias("areas"), nation.alias("rate")))
+    whole = F.when(k % 8 == 5, texts).otherwise(numbers)
+    texts_of = g.table("customer").select(k.alias("source_row"), whole.alias("b"))
+    cut = F.when(F.col("source_row") % 11 == 0, F.expr("left(b, length(b) - 1)")).otherwise(F.col("b"))
+    return texts_of.select("source_row", cut.alias("body"))
+
+
+@query
+def entities_of_any_shape(g: Given) -> DataFrame:
+    """A table of documents nobody declared: the union of their fields, typed where all agree; the cut-off ones by name."""
+    good, bad = entities.read_or_reject(_drifting_documents(g))
+    wide = _unstamped(entities.wide_rows(good, entities.shape_of(good), RUN))
+    return wide.unionByName(bad.select("source_row", F.col("body").alias("rejected")), allowMissingColumns=True)
+
+
+@query
+def entity_fields(g: Given) -> DataFrame:
+    """Which field holds which kinds of values how often, of the same documents."""
+    good, _ = entities.read_or_reject(_drifting_documents(g))
+    return entities.long_rows(good).groupBy("field", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest")
+    )
+
+
+# ------------------------------------------------------------------ summaries kept with a table
+
+
+@query
+def price_quartiles_from_sketches(g: Given) -> DataFrame:
+    """Quartiles of line prices per year from the sketches of its days; every estimate has to be within 2 % of its rank."""
+    lines = g.orders.select("order_date", "unit_price", "sku")
+    year = F.year("order_date").alias("year")
+    names, at = ("low", "mid", "high"), (0.25, 0.5, 0.75)
+    found = sketches.merged_quantiles(sketches.day_summaries(lines, "order_date", "unit_price", "sku"), [year], at, names)
+    ranked = lines.withColumn("year", year).join(found, "year").groupBy("year", "n").agg(
+        *[F.count_if(F.col("unit_price") < F.col(c)).alias(f"{c}_below") for c in names],
+        *[F.count_if(F.col("unit_price") <= F.col(c)).alias(f"{c}_up_to") for c in names],
+    )
+    near = [(F.col(f"{c}_below") <= F.col("n") * (p + 0.02)) & (F.col(f"{c}_up_to") >= F.col("n") * (p - 0.02)) for c, p in zip(names, at, strict=True)]
+    return ranked.select("year", "n", reduce(lambda a, b: a & b, near).alias("all_near"))
+
+
+@query
+def heavy_suppliers_from_sketches(g: Given) -> DataFrame:
+    """Suppliers with more lines than the average one, from the lists kept per ship date."""
+    lines = g.table("lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_quantity", F.col("l_suppkey").alias("supplier"))
+    summaries = sketches.day_summaries(lines, "day", "l_quantity", "supplier")
+    every = sketches.heavy_keys(summaries, "supplier", sketches.TRACKED)
+    average = every.agg(F.avg("n")).scalar()
+    return every.filter(F.col("n") > average)
+
+
 # ------------------------------------------------------------------ increments and keyed state
 
 

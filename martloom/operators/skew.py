@@ -39,19 +39,22 @@ def spread_hot_keys(
     key_source: DataFrame | None = None,
     fraction: float = 0.01,
     partitions: int | None = None,
+    hot: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with a _salt column to join on beside the keys; the join result is the same as without.
 
     Rows of a hot key are dealt out by the spread columns and the task they come from, both of which are
     the same when a lost task runs again. The lookup rows of a hot key are repeated once per salt.
-    key_source names a cheaper frame to count the keys on, when facts is itself a long computation.
+    key_source names a cheaper frame to count the keys on, when facts is itself a long computation; hot gives the hot
+    keys where they are known (sketches.hot_from_summaries), so that nothing is counted.
     """
     if partitions is None:
         partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # bounded by the number of shuffle partitions, see hot_keys
-    source = facts if key_source is None else key_source
-    content = [c for c in spread if c in source.columns and c not in keys] or source.columns
-    hot = F.broadcast(hot_keys(source, keys, content, fraction, partitions))
+    if hot is None:
+        source = facts if key_source is None else key_source
+        content = [c for c in spread if c in source.columns and c not in keys] or source.columns
+        hot = hot_keys(source, keys, content, fraction, partitions)
+    hot = F.broadcast(hot)  # bounded by the number of shuffle partitions, see hot_keys
 
     def with_splits(df: DataFrame) -> DataFrame:
         renamed = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_splits")
