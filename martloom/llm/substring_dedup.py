@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from martloom.llm.text import documents, saved
+from martloom.llm.text import documents, saved, stored
 
 REACH = 16  # bytes the rolling hash sees
 NEAR = 20  # a cut's hash is the smallest of so many places before and after; chunks are twice as long on average
@@ -88,13 +88,14 @@ def chunks_of(text: str) -> tuple[list[int], list[int], np.ndarray]:
     return chars[starts].tolist(), chars[ends].tolist(), np.frombuffer(digests, "<i8").reshape(-1, 2)
 
 
-CHUNKS = "row long, id long, start int, end int, d1 long, d2 long"
+CHUNKS = "row long, id long, start int, end int, again boolean, d1 long, d2 long"
 
 
 def _chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Chunks of texts; `again` marks those that the text holds further up as well."""
     for batch in batches:
         for at in range(0, len(batch), 500):
-            rows, ids, starts, ends, digests = [], [], [], [], [np.zeros((0, 2), np.int64)]
+            rows, ids, starts, ends, again, digests = [], [], [], [], [], [np.zeros((0, 2), np.int64)]
             part = batch.iloc[at : at + 500]
             for row, i, text in zip(part.row, part.id, part.text):
                 s, e, d = chunks_of(text)
@@ -102,9 +103,12 @@ def _chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 ids += [i] * len(s)
                 starts += s
                 ends += e
+                repeats = np.ones(len(s), bool)
+                repeats[np.unique(d.view("V16").ravel(), return_index=True)[1]] = False
+                again += repeats.tolist()
                 digests.append(d)
             d = np.concatenate(digests)
-            yield pd.DataFrame({"row": rows, "id": ids, "start": starts, "end": ends, "d1": d[:, 0], "d2": d[:, 1]})
+            yield pd.DataFrame({"row": rows, "id": ids, "start": starts, "end": ends, "again": again, "d1": d[:, 0], "d2": d[:, 1]})
 
 
 NO_ID = -(1 << 63)  # stands for a null id
@@ -117,14 +121,17 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _passages(rows: DataFrame, shortest: int, within: bool) -> DataFrame:
-    """Passages of numbered rows, ended where chunks that stay meet others: row, id, start, end, n_chunks, n_removed, first."""
-    chunks = saved(rows.mapInPandas(_chunked, CHUNKS))
-    place = F.struct("id", "row", "start")
-    repeated = F.count(F.lit(1)) > 1 if within else F.max("row") != F.min("row")
-    shared = chunks.groupBy("d1", "d2").agg(F.min(place).alias("at"), repeated.alias("repeated")).filter("repeated")
-    shared = saved(shared.select("d1", "d2", F.col("at.id").alias("first"), F.col("at.row").alias("first_row"), F.col("at.start").alias("first_start")))
-    removed = (F.col("first_row") != F.col("row")) | (F.col("first_start") != F.col("start"))
-    found = chunks.join(shared, ["d1", "d2"]).select("row", "id", "start", "end", "first", removed.cast("int").alias("removed"))
+    """Passages of numbered rows, ended where chunks that stay meet others: row, id, start, end, n_chunks, n_removed, n_own, first."""
+    chunks = stored(rows.mapInPandas(_chunked, CHUNKS))
+    # numbers of fixed width only, so digests are counted by hash before and after the shuffle, without a sort
+    counted = chunks.groupBy("d1", "d2").agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.min_by("row", "id").alias("first_row"),
+        F.min("row").alias("low"), F.max("row").alias("high"),
+    )
+    alone = F.col("low") == F.col("high")
+    shared = stored(counted.filter("n > 1" if within else "low < high").select("d1", "d2", "first", "first_row", alone.alias("alone")))
+    removed = F.col("again") | (F.col("first_row") != F.col("row"))
+    found = chunks.join(shared, ["d1", "d2"]).select("row", "id", "start", "end", "first", "alone", removed.cast("int").alias("removed"))
     by_place = Window.partitionBy("row").orderBy("start")
     opened = found.withColumn("opens", (F.coalesce(F.lag("end").over(by_place), F.lit(-1)) < F.col("start")).cast("int"))
     turned = opened.withColumn("turns", F.greatest("opens", F.abs(F.col("removed") - F.lag("removed", 1, 0).over(by_place))))
@@ -132,7 +139,7 @@ def _passages(rows: DataFrame, shortest: int, within: bool) -> DataFrame:
     numbered = turned.withColumn("stretch", F.sum("opens").over(so_far)).withColumn("passage", F.sum("turns").over(so_far))
     passages = numbered.groupBy("row", "stretch", "passage").agg(
         F.min("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"),
-        F.sum("removed").alias("n_removed"), F.min("first").alias("first"),
+        F.sum("removed").alias("n_removed"), F.count_if("alone").alias("n_own"), F.min("first").alias("first"),
     )
     whole = Window.partitionBy("row", "stretch")
     sized = passages.withColumn("size", F.max("end").over(whole) - F.min("start").over(whole))
@@ -142,24 +149,25 @@ def _passages(rows: DataFrame, shortest: int, within: bool) -> DataFrame:
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST, within: bool = False
 ) -> DataFrame:
-    """Passages that other rows hold too: doc_id, start, end (code points), n_chunks, n_removed, first_doc_id, kept.
+    """Passages that other rows hold too: doc_id, start, end (code points), n_chunks, n_removed, n_own, first_doc_id, kept.
 
     A chunk is repeated when its digest occurs in two rows or more, or, with `within`, at two places of the same row;
     neighbouring repeated chunks are reported from `shortest` characters on. Each chunk stays at its first place, in the
     row with the smallest id; where chunks that stay meet chunks that don't, a passage ends and the next begins, so
     `kept` holds for all of a passage (n_removed is 0, or n_chunks) and one copy of everything is kept. first_doc_id is
-    the smallest id its chunks stay in. A passage's first and last chunk may reach beyond it in a document
+    the smallest id its chunks stay in. n_own of the chunks are repeated within this row only: a passage of which all are
+    is the row's own repetition, no other row has a part of it. A passage's first and last chunk may reach beyond it in a document
     where its surroundings differ, so up to about 60 characters at either end are not reported.
 
     Digests are counted before the shuffle, and the join that finds repeated chunks has both sides straight from a
     shuffle, so a chunk that every document has is split at run time. Null and empty texts have no chunks. Every row is
-    a document of its own: of rows that share an id, or have none, one comes first. Null ids are smaller than all
+    a document of its own: of rows that share an id, or have none, one comes first, by chunk. Null ids are smaller than all
     others. An empty table gives an empty result; other columns are ignored.
     """
     passages = _passages(_numbered(docs, id_col, text_col), shortest, within)
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return passages.select(
-        named("id").alias("doc_id"), "start", "end", "n_chunks", "n_removed", named("first").alias("first_doc_id"), (F.col("n_removed") == 0).alias("kept")
+        named("id").alias("doc_id"), "start", "end", "n_chunks", "n_removed", "n_own", named("first").alias("first_doc_id"), (F.col("n_removed") == 0).alias("kept")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +47,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As saved, for many rows: Parquet in the shared folder, compressed, of which later steps read the columns they need."""
+    folder = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def match_spans(text: Column, pattern: str | Column) -> Column:
     """Array of (start, end) in code points, end exclusive: all leftmost non-overlapping matches of a pattern.
 
