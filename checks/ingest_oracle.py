@@ -292,8 +292,9 @@ sql(
     "ndjson_append_and_load",
     "deals",
     """, twice AS (SELECT * FROM deals UNION ALL SELECT * FROM deals WHERE status = 'LOST')
-    SELECT id, 'D-' || id AS deal_number, status, rent AS proposed_rent, assignee AS assigned_user_id, created_at, updated_at,
-           NULL::VARCHAR AS priority FROM twice""",
+    SELECT id, 'D-' || id AS deal_number, property_id AS tenant_id, property_id, status, CASE WHEN id % 3 = 0 THEN 'high' END AS priority,
+           rent AS proposed_rent, updated_at::DATE AS desired_move_in, CASE WHEN status = 'LOST' THEN 'said "no", again' END AS lost_reason,
+           assignee AS assigned_user_id, created_at, updated_at, updated_at AS inserted_at FROM twice""",
 )
 sql(
     "csv_master_load",
@@ -358,7 +359,7 @@ sql(
     """SELECT id, status, rent AS proposed_rent, TIMESTAMP '2001-08-01 03:00:00' AS inserted_at FROM deals
     UNION ALL SELECT id, status, rent, TIMESTAMP '2001-07-31 03:00:00' FROM deals WHERE status = 'LOST'""",
 )
-sql("view_recomputed", "costs", "SELECT sku, count(*) AS periods, max(cost_price) AS highest FROM costs GROUP BY sku")
+sql("view_recomputed", "costs", "SELECT sku, count(*) AS periods, max(cost_price) AS highest, true AS grew FROM costs GROUP BY sku")
 sql(
     "high_water_mark_text",
     "",
@@ -391,6 +392,9 @@ sql(
 )
 
 ORACLE["ec_channel_roi_from_raw"] = ORACLE["ec_channel_roi"]
+ORACLE["ec_ad_performance_from_raw"] = ORACLE["ec_ad_performance"]
+ORACLE["ec_cohort_ltv_from_raw"] = ORACLE["ec_cohort_ltv"]
+ORACLE["ec_customer_profile_from_raw"] = ORACLE["ec_customer_profile"]
 ORACLE["ad_cost_feed_from_raw"] = ORACLE["ad_cost_feed"]
 sql(
     "orders_required_and_rejects",

@@ -10,12 +10,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from checks import queries as leasing_queries
 from checks.queries import query
 from martloom.functions import utm
 from martloom.functions.scalars import url_host, url_path
 from martloom.ingest import entities, marketing, payloads, shop
 from martloom.operators import keyed, sketches
-from martloom.plans import leasing
+from martloom.plans import central, leasing, search
 from martloom.plans import shop as reports
 from martloom.sources import io
 from martloom.sources.given import EPOCH, OWN_URL, SHOP_DAY, SHOP_NOW, Given
@@ -610,14 +611,14 @@ def ndjson_append_and_load(g: Given) -> DataFrame:
     """Two appended loads of newline-delimited rows, read back with the declared types."""
     out = io.shared_dir(g.spark, "ndjson")
     rows = g.deals.select(
-        "id", F.concat(F.lit("D-"), "id").alias("deal_number"), "tenant_id", "property_id", "status", "proposed_rent",
-        "assigned_user_id", "created_at", "updated_at", F.col("updated_at").alias("inserted_at"),
+        "id", F.concat(F.lit("D-"), "id").alias("deal_number"), "tenant_id", "property_id", "status",
+        F.when(F.col("id") % 3 == 0, "high").alias("priority"), "proposed_rent", F.to_date("updated_at").alias("desired_move_in"),
+        F.when(F.col("status") == "LOST", 'said "no", again').alias("lost_reason"), "assigned_user_id", "created_at", "updated_at",
+        F.col("updated_at").alias("inserted_at"),
     )
     rows.write.mode("append").json(out)
     rows.filter(F.col("status") == "LOST").write.mode("append").json(out)
-    return io.load_ndjson(g.spark, "re_deals", out).select(
-        "id", "deal_number", "status", "proposed_rent", "assigned_user_id", "created_at", "updated_at", "priority"
-    )
+    return io.load_ndjson(g.spark, "re_deals", out)
 
 
 @query
@@ -801,8 +802,17 @@ def append_with_stamp(g: Given) -> DataFrame:
 
 @query
 def view_recomputed(g: Given) -> DataFrame:
-    io.as_view(reports.ec_cost_master(g.products_daily, epoch=EPOCH), "martloom_cost_master")
-    return g.spark.sql("SELECT sku, count(*) AS periods, max(cost_price) AS highest FROM martloom_cost_master GROUP BY sku")
+    """A view over a table that grows after the view was made: the sightings of half the SKUs, then those of the others."""
+    out = io.shared_dir(g.spark, "sightings")
+    early = F.crc32("sku") % 2 == 0
+    g.products_daily.filter(early).write.parquet(out)
+    stored = g.spark.read.schema(g.products_daily.schema).parquet(out)
+    io.as_view(reports.ec_cost_master(stored, epoch=EPOCH), "martloom_cost_master")
+    before = g.spark.sql("SELECT count(DISTINCT sku) AS n FROM martloom_cost_master").first()["n"]
+    g.products_daily.filter(~early).write.mode("append").parquet(out)
+    io.refresh_view(g.spark, "martloom_cost_master")
+    now = g.spark.sql("SELECT sku, count(*) AS periods, max(cost_price) AS highest FROM martloom_cost_master GROUP BY sku")
+    return now.withColumn("grew", F.lit(before) < F.count(F.lit(1)).over(Window.partitionBy()))
 
 
 @query
@@ -878,6 +888,28 @@ def ordered_weekly_summaries(g: Given) -> DataFrame:
     return in_order(reports.ec_weekly_summary(g.orders, sort=True), "weeks")
 
 
+@query
+def ordered_competitor_gap(g: Given) -> DataFrame:
+    """Most searched first, then the keyword that most competitors hold."""
+    return in_order(search.ec_competitor_gap(g.keywords, g.orders, SHOP_DAY, OWN_URL, sort=True), "gap")
+
+
+@query
+def ordered_lead_funnel(g: Given) -> DataFrame:
+    return in_order(leasing_queries.re_lead_funnel(g).drop("generated_at"), "funnel")
+
+
+@query
+def ordered_property_performance(g: Given) -> DataFrame:
+    """Most deals first, longest listed first."""
+    return in_order(leasing.re_property_performance(g.properties, g.deals, g.activities, SHOP_DAY, sort=True), "properties")
+
+
+@query
+def ordered_leasing_weeks(g: Given) -> DataFrame:
+    return in_order(leasing.re_weekly_summary(leasing_queries.re_lead_funnel(g), sort=True), "leasing_weeks")
+
+
 # ------------------------------------------------------------------ from raw tables to reports
 
 
@@ -893,13 +925,34 @@ def _ads_loaded_twice(g: Given) -> list[DataFrame]:
     return out
 
 
-@query
-def ec_channel_roi_from_raw(g: Given) -> DataFrame:
-    """Every day of the ad sources and every order line was loaded twice."""
+def _lines_loaded_twice(g: Given) -> DataFrame:
+    """Order lines as two loads leave them; the earlier one had other prices."""
     earlier = g.orders.withColumn("total_price", F.col("total_price") + 1).withColumn("inserted_at", F.col("inserted_at") - F.expr("INTERVAL 1 DAY"))
     lines = g.orders.withColumn("line_item_id", F.concat_ws("-", "line_item_id", "sku", "inserted_at", "quantity", "unit_price"))
     loaded = lines.unionByName(earlier.withColumn("line_item_id", F.concat_ws("-", "line_item_id", "sku", F.col("inserted_at") + F.expr("INTERVAL 1 DAY"), "quantity", "unit_price")))
-    return reports.ec_channel_roi(io.newest_rows(loaded, "ec_shopify_orders"), *_ads_loaded_twice(g))
+    return io.newest_rows(loaded, "ec_shopify_orders")
+
+
+@query
+def ec_channel_roi_from_raw(g: Given) -> DataFrame:
+    """Every day of the ad sources and every order line was loaded twice."""
+    return reports.ec_channel_roi(_lines_loaded_twice(g), *_ads_loaded_twice(g))
+
+
+@query
+def ec_ad_performance_from_raw(g: Given) -> DataFrame:
+    ads = _ads_loaded_twice(g)
+    return central.ec_ad_performance(*ads, reports.ec_channel_roi(_lines_loaded_twice(g), *ads))
+
+
+@query
+def ec_cohort_ltv_from_raw(g: Given) -> DataFrame:
+    return reports.ec_cohort_ltv(_lines_loaded_twice(g), generated_at=SHOP_NOW)
+
+
+@query
+def ec_customer_profile_from_raw(g: Given) -> DataFrame:
+    return reports.ec_customer_profile(_lines_loaded_twice(g), SHOP_DAY, generated_at=SHOP_NOW)
 
 
 @query

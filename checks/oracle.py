@@ -573,6 +573,10 @@ for _name, _of, _order in (
     ("ordered_storage_cost", "ec_storage_cost_estimated", "snapshot_date DESC, estimated_daily_cost_yen DESC NULLS LAST, sku"),
     ("ordered_case_pipeline", "re_case_pipeline", f"list_position({list(DEAL_STATES)}, status)"),
     ("ordered_weekly_summaries", "ec_weekly_summary", "week_start DESC"),
+    ("ordered_competitor_gap", "ec_competitor_gap", "search_volume DESC, competitor_count DESC, keyword"),
+    ("ordered_lead_funnel", "re_lead_funnel", "date"),
+    ("ordered_property_performance", "re_property_performance", "total_deals DESC, days_listed DESC, property_id"),
+    ("ordered_leasing_weeks", "re_weekly_summary", "week_start"),
 ):
     ORACLE[_name] = f"SELECT *, row_number() OVER (ORDER BY {_order}) AS position FROM ({ORACLE[_of]})"
 

@@ -361,8 +361,9 @@ def ec_klaviyo_conversion(
     """Orders of known email profiles from the day a campaign was sent to window_days later.
 
     Orders are summed per day before they meet the campaigns, so the join is campaign days against
-    calendar days whatever the number of orders. An order id on several days would be counted once per
-    day that way; those ids are looked up and the surplus is taken off again.
+    calendar days whatever the number of orders. An order id on several days counts once per campaign: on the first of
+    them that the campaign's window holds. That is told by the days since the id was last seen, so a day has a row for
+    each such distance within the window, and one for all others.
     """
     keys = ["campaign_id", "campaign_name", "sent_at", "recipients", "open_rate", "click_rate", "revenue"]
     known = profiles.select(F.col("email").alias("customer_email"))
@@ -372,31 +373,23 @@ def ec_klaviyo_conversion(
         .groupBy("order_id", "order_date")
         .agg(F.sum("total_price").alias("revenue"))
     )
-    per_day = per_order_day.groupBy("order_date").agg(
-        F.count(F.lit(1)).alias("day_orders"), F.sum("revenue").alias("day_revenue")
+    since = F.date_diff("order_date", F.lag("order_date").over(Window.partitionBy("order_id").orderBy("order_date")))
+    per_day = (
+        per_order_day.withColumn("since", F.when(since <= window_days, since))
+        .groupBy("order_date", "since")
+        .agg(F.count(F.lit(1)).alias("day_orders"), F.sum("revenue").alias("day_revenue"))
     )
     # a campaign loaded several times is one row, but its revenue repeats per copy
     sent = campaigns.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     campaign_days = list_days(sent, F.to_date("sent_at"), window_days, "order_date")
-    matched = campaign_days.join(per_day, "order_date", "left").select(
-        *keys, "day_orders", (F.col("day_revenue") * F.col("copies")).alias("matched_revenue")
-    )
-
-    repeated_ids = per_order_day.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    surplus = (
-        per_order_day.join(repeated_ids, "order_id", "left_semi")
-        .select("order_id", "order_date")
-        .join(campaign_days, "order_date")
-        .groupBy(*keys, "order_id")
-        .agg((F.lit(1) - F.count(F.lit(1))).alias("day_orders"))
-        .select(*keys, "day_orders", F.lit(None).cast("long").alias("matched_revenue"))
-    )
+    seen_before = F.col("since") <= F.date_diff("order_date", F.to_date("sent_at"))
     return (
-        matched.unionByName(surplus)
+        campaign_days.join(per_day, "order_date", "left")
+        .withColumn("first_orders", F.when(F.coalesce(seen_before, F.lit(False)), 0).otherwise(F.col("day_orders")))
         .groupBy(*keys)
         .agg(
-            F.coalesce(F.sum("day_orders"), F.lit(0)).alias("shopify_orders"),
-            F.sum("matched_revenue").alias("shopify_revenue"),
+            F.coalesce(F.sum("first_orders"), F.lit(0)).alias("shopify_orders"),
+            F.sum(F.col("day_revenue") * F.col("copies")).alias("shopify_revenue"),
         )
         .select(
             *keys[:-1],

@@ -51,11 +51,16 @@ def shipping_seed(spark: SparkSession) -> DataFrame:
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
-    """Register a derived table that is recomputed on every read."""
+    """Register a derived table that is recomputed on every read, from the files its sources had when they were listed."""
     df.createOrReplaceTempView(name)
     return df
 
 
+def refresh_view(spark: SparkSession, name: str) -> None:
+    """List the files below a view again, after its sources have grown."""
+    spark.catalog.refreshTable(name)
+
+
 def newest_rows(raw: DataFrame, table: str) -> DataFrame:
     """A raw table as reports read it: of a row that was loaded several times, as in a rolling window, the newest."""
     return latest_wins(raw, KEYS[table], "inserted_at")

@@ -7,7 +7,7 @@ from checks.compare import connect, difference
 
 SF = "/root/testdata/sf0.001"
 # thresholds that so few rows do not reach
-MAY_BE_EMPTY = {"ec_competitor_gap", "quality_skus_without_size", "increment_after_mark"}
+MAY_BE_EMPTY = {"ec_competitor_gap", "ordered_competitor_gap", "quality_skus_without_size", "increment_after_mark"}
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +35,7 @@ WRITES = {
     "backfill_resumed", "profile_from_buckets", "stream_two_sides", "stream_latest_state", "stream_state_compacted",
     "declared_scan_rebuilt", "report_rebuilt_as_table", "append_with_stamp", "table_created_if_missing", "ingest_orders_bulk",
     "ordered_repeat_pattern", "ordered_storage_cost", "ordered_case_pipeline", "ordered_weekly_summaries",
+    "ordered_competitor_gap", "ordered_lead_funnel", "ordered_property_performance", "ordered_leasing_weeks", "view_recomputed",
 }
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -262,3 +263,19 @@ def test_cohort_totals_agree_with_the_orders(spark):
         last[r.cohort_month] = r.cumulative_revenue
     assert sum(last.values()) == orders.agg(F.sum("total_price")).first()[0]
     assert struct("a I!").fields[0].nullable is False
+
+
+def test_email_orders_against_all_pairs(spark, make):
+    """Orders delivered again on other days, windows that overlap, campaigns loaded twice."""
+    rnd = random.Random(9)
+    day = lambda n: D("2024-01-01") + dt.timedelta(days=n)
+    lines = [{"order_id": str(rnd.randint(1, 25)), "order_date": day(rnd.randint(0, 30)), "customer_email": rnd.choice(["a@x", "b@x", "new@x"]), "total_price": rnd.randint(1, 9)} for _ in range(150)]
+    sent = [(f"c{i}", dt.datetime(2024, 1, rnd.randint(1, 28), 10)) for i in range(12)] + [("late", dt.datetime(2025, 1, 1)), ("unsent", None)]
+    campaigns = [{"campaign_id": c, "sent_at": at, "recipients": 100, "revenue": 5} for c, at in [*sent, sent[0]]]
+    got = shop.ec_klaviyo_conversion(make("ec_klaviyo_campaigns", *campaigns), make("ec_klaviyo_profiles", {"email": "a@x"}, {"email": "b@x"}), make("ec_shopify_orders", *lines))
+    want = []
+    for c, at in sent:
+        inside = [x for x in lines if at and x["customer_email"] != "new@x" and 0 <= (x["order_date"] - at.date()).days <= 7]
+        copies = 2 if c == sent[0][0] else 1
+        want.append((c, len({x["order_id"] for x in inside}), sum(x["total_price"] for x in inside) * copies if inside else None))
+    assert rows(got, "campaign_id", "shopify_orders", "shopify_revenue") == sorted(want, key=str)
