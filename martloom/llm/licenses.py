@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.llm.license_rules import STEMS, rules
-from martloom.llm.text import ascii_lower, documents, match_spans
+from martloom.llm.text import ascii_lower, documents, let, match_spans, running
 
 # base phrases and their labels: fixed values
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -34,14 +34,9 @@ def at_borders(pattern: Column) -> Column:
 def phrase_starts(words: Column, phrase: str) -> Column:
     """Word numbers at which a phrase stands. Blanks are counted piece by piece between its places."""
     inside = phrase.count(" ")
-    start = F.expr("named_struct('seen', 0, 'at', CAST(array() AS array<int>))")
-
-    def step(acc: Column, gap: Column) -> Column:
-        seen = acc.seen + _blanks(gap)
-        return F.struct((seen + inside).alias("seen"), F.array_append(acc["at"], seen - 1).alias("at"))
-
     pieces = F.split(words, at_borders(F.lit(phrase)), -1)
-    found = F.aggregate(F.slice(pieces, F.lit(1), F.size(pieces) - 1), start, step, lambda a: a["at"])
+    blanks = let(pieces, lambda p: F.transform(F.slice(p, F.lit(1), F.size(p) - 1), _blanks))
+    found = F.transform(running(blanks), lambda n, i: n + i * inside - 1)
     return F.when(F.contains(words, F.lit(f" {phrase} ")), found).otherwise(F.expr("CAST(array() AS array<int>)"))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.text import documents, match_spans, saved
+from martloom.llm.text import documents, let, match_spans, outermost, saved
 
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")  # every match of ASSIGN holds one of them, in either case
@@ -178,7 +178,9 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
         )
         for run in RUNS
     ]
-    encoded = F.array_distinct(F.concat(*runs))
+    # a string that several patterns find is there once; equal ones stand together after the sort
+    different = lambda a, s, i: (i == 0) | (F.get(a, i - 1).start != s.start) | (F.get(a, i - 1).end != s.end)
+    encoded = let(F.array_sort(F.concat(*runs)), lambda a: F.filter(a, lambda s, i: different(a, s, i)))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("lowered", lowered)
     rows = rows.select("doc_id", "text", gate.alias("named"), F.col("text").rlike(ENCODED).alias("encoded"))
     tested_none = F.expr("CAST(array() AS array<struct<start:int,end:int,enc:string,p_text:double,p_random:double>>)")
@@ -192,8 +194,7 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
     rows = saved(rows)
     level = discovery_level(rows, rate)
     rows = rows.withColumn("passed", F.filter("tested", lambda s: _level(s) >= level))
-    inside = lambda s, o: (o.start <= s.start) & (o.end >= s.end) & (o.end - o.start > s.end - s.start)
-    passed = F.filter("passed", lambda s: ~F.exists("passed", lambda o: inside(s, o)))
+    passed = outermost(F.col("passed"))
 
     def tagged(kind: str, spans: Column | str) -> Column:
         return F.transform(spans, lambda s: F.struct(s.start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s.end.alias("end"), F.lit(kind).alias("kind")))

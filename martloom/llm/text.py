@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,51 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+RUN = 64  # elements folded by appending, which copies what is there
+
+
+def running(values: Column, kind: str = "int", step: Callable[[Column, Column], Column] = lambda a, x: a + x, levels: int = 2) -> Column:
+    """What `step` makes of each element and all before it: running sums, or maxima with F.greatest.
+
+    Long arrays are folded in runs of RUN elements, the runs' last results in the same way, so the work grows with the
+    elements and not with their square (up to RUN ** (levels + 1) of them; slowly beyond).
+    """
+    none = F.expr(f"CAST(array() AS array<{kind}>)")
+
+    def folded(a: Column) -> Column:
+        start = F.struct(F.lit(None).cast(kind).alias("last"), none.alias("all"))
+
+        def onward(acc: Column, x: Column) -> Column:
+            last = F.when(acc["last"].isNull(), x).otherwise(step(acc["last"], x))
+            return F.struct(last.alias("last"), F.array_append(acc["all"], last).alias("all"))
+
+        return F.aggregate(a, start, onward, lambda acc: acc["all"])
+
+    def in_runs(a: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.size(a) - 1, F.lit(RUN))
+        runs = F.transform(firsts, lambda i: folded(F.transform(F.sequence(i, F.least(i + RUN, F.size(a)) - 1), lambda j: F.get(a, j))))
+
+        def joined(r: Column) -> Column:
+            ends = running(F.transform(r, lambda x: F.element_at(x, -1)), kind, step, levels - 1)
+
+            def onto(e: Column) -> Column:
+                before = lambda x, i: F.when(i > 0, F.transform(x, lambda y: step(F.get(e, i - 1), y))).otherwise(x)
+                return F.flatten(F.transform(r, before))
+
+            return let(ends, onto)
+
+        return let(runs, joined)
+
+    if not levels:
+        return folded(values)
+    return let(values, lambda a: F.when(F.size(a) > RUN, in_runs(a)).otherwise(folded(a)))
+
+
 def match_spans(text: Column, pattern: str | Column) -> Column:
     """Array of (start, end) in code points, end exclusive: all leftmost non-overlapping matches of a pattern.
 
@@ -68,13 +114,21 @@ def match_spans(text: Column, pattern: str | Column) -> Column:
 def spans_from(gaps: Column, sizes: Column) -> Column:
     """Spans from the lengths of the pieces between matches (one more than matches) and of the matches."""
     empty = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
-    start = F.expr("named_struct('at', 0, 'spans', CAST(array() AS array<struct<start:int,end:int>>))")
 
-    def step(acc: Column, pair: Column) -> Column:
-        begin = acc.at + pair.gap
-        end = begin + pair.size
-        span = F.struct(begin.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.array_append(acc.spans, span).alias("spans"))
+    def spans(sizes: Column) -> Column:
+        both = F.zip_with(F.slice(gaps, 1, F.size(sizes)), sizes, lambda g, s: g + s)
+        return F.zip_with(running(both), sizes, lambda e, s: F.struct((e - s).alias("start"), e.alias("end")))
+
+    return let(sizes, lambda s: F.when(F.size(s) > 0, spans(s)).otherwise(empty))
+
+
+def outermost(spans: Column) -> Column:
+    """The spans (start, end first, none twice) that lie in no other, in order: of those before it in the order of start,
+    then the longer first, the furthest end tells."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s.start.alias("start"), (-s.end).alias("back"))))
+
+    def kept(o: Column) -> Column:
+        reach = running(F.transform(o, lambda s: -s.back), step=F.greatest)
+        return let(reach, lambda r: F.filter(o, lambda s, i: (i == 0) | (F.get(r, i - 1) < -s.back)))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(sizes)), sizes, lambda g, s: F.struct(g.alias("gap"), s.alias("size")))
-    return F.when(F.size(sizes) > 0, F.aggregate(pairs, start, step, lambda a: a.spans)).otherwise(empty)
+    return F.transform(let(ordered, kept), lambda s: F.struct(s.start.alias("start"), (-s.back).alias("end")))
