@@ -8,15 +8,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.text import documents, remainder
+from martloom.llm.text import documents, remainder, saved
 
 SAMPLE = 1_000  # training documents for each language, about
 LANGUAGES = 1_000  # languages learned at most, the most frequent ones
-WORDS = 200_000  # entries of the word table (word, language)
-GRAMS = 200_000  # entries of the n-gram table
+WORDS = 200_000  # entries of the word table (word, language), shared out among the languages
+GRAMS = 200_000  # entries of the n-gram table, likewise
 ORDERS = (5, 4, 3, 2, 1)
 LONGEST = 40  # characters of a word that is kept as a word; longer ones are read by their n-grams
 STEP = 500  # documents scored at a time
@@ -112,10 +112,22 @@ class Model:
         return [(self.langs[b], float(s)) if ok else ("und", 0.0) for ok, b, s in zip(lettered, best, scores)]
 
 
+def fair_shares(sizes: dict[str, int], limit: int) -> dict[str, int]:
+    """How many entries each language keeps: all of them while they fit; else the same number for each, and what small
+    languages leave over goes to the others."""
+    shares, left = {}, limit
+    for i, (lang, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        shares[lang] = min(n, left // (len(sizes) - i))
+        left -= shares[lang]
+    return shares
+
+
 def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, sample: int = SAMPLE) -> Model:
     """Fit on about `sample` documents for each language, chosen by a hash of the id; the tables are bounded by WORDS and GRAMS.
 
-    `docs` holds the training rows only; null texts and languages are skipped.
+    What a table can't hold is cut language by language, the rarest entries first and equally rare ones by a hash, so
+    neither a rare language nor a script that sorts late loses more than others. Of more than LANGUAGES languages the
+    least frequent are not learned. `docs` holds the training rows only; null texts and languages are skipped.
     """
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     usable = usable.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"))
@@ -126,10 +138,14 @@ def train(docs: DataFrame, text_col: str, lang_col: str, id_col: str, sample: in
     place = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
     chosen = usable.filter(place < F.try_element_at(share, F.col("lang"))).select("text", "lang")
     counts = chosen.mapInPandas(_counted, COUNTS).groupBy("order", "gram", "lang").agg(F.sum("n").alias("n"))
-    ranked = [F.desc("n"), "order", "gram", "lang"]
-    words = counts.filter("order = 0").orderBy(*ranked).limit(WORDS)
-    grams = counts.filter("order > 0").orderBy(*ranked).limit(GRAMS)
-    return Model([(r.order, r.gram, r.lang, r.n) for part in (words, grams) for r in part.collect()])
+    counts = saved(counts.withColumn("is_word", F.col("order") == 0))
+    found = counts.groupBy("is_word", "lang").count().collect()  # two rows a language
+    shares = {kind: fair_shares({r.lang: r["count"] for r in found if r.is_word == kind}, limit) for kind, limit in ((True, WORDS), (False, GRAMS))}
+    limits = {kind: F.create_map(*[F.lit(x) for pair in of.items() for x in pair]) for kind, of in shares.items() if of}
+    rank = F.row_number().over(Window.partitionBy("is_word", "lang").orderBy(F.desc("n"), "order", F.xxhash64("gram"), "gram"))
+    ranked = counts.withColumn("rank", rank)
+    kept = [ranked.filter((F.col("is_word") == kind) & (F.col("rank") <= F.try_element_at(of, F.col("lang")))) for kind, of in limits.items()]
+    return Model([(r.order, r.gram, r.lang, r.n) for part in kept for r in part.select("order", "gram", "lang", "n").collect()])
 
 
 def predictor(spark: SparkSession, model: Model):
