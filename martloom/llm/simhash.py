@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from martloom.llm.components import components
-from martloom.llm.text import documents, saved
+from martloom.llm.text import documents, saved, stored
 
 SEED = 42
 RADIUS = 3
@@ -109,16 +109,18 @@ def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
     Pairs are compared one by one except inside a crowd, a half that over `crowd` fingerprints share: those are linked
     through common near values, which costs a fixed number of rows for each member instead of one for each pair.
     """
-    stored = saved(_halves(prints.filter("fp IS NOT NULL").select("fp").distinct()))
-    crowds = saved(stored.groupBy("side", "part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("side", "part"))
-    sparse, probes, extra = stored, _balls(stored, "part", "probe"), None
+    partitions = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each half becomes up to 33 rows below: spread now, as small tables are put into few tasks
+    halves = saved(_halves(prints.filter("fp IS NOT NULL").select("fp").distinct()).repartition(partitions, "fp"))
+    crowds = saved(halves.groupBy("side", "part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("side", "part"))
+    sparse, probes, extra = halves, _balls(halves, "part", "probe"), None
     if not crowds.isEmpty():
         at = crowds.withColumnRenamed("part", "probe")
         extra = _crowd_links(
-            stored.join(crowds, ["side", "part"], "left_semi"),
-            _neighbours(stored).join(at, ["side", "probe"], "left_semi").drop("part").withColumnRenamed("probe", "part"),
+            halves.join(crowds, ["side", "part"], "left_semi"),
+            _neighbours(halves).join(at, ["side", "probe"], "left_semi").drop("part").withColumnRenamed("probe", "part"),
         )
-        sparse = stored.join(crowds, ["side", "part"], "left_anti")
+        sparse = halves.join(crowds, ["side", "part"], "left_anti")
         probes = probes.join(at, ["side", "probe"], "left_anti")
     a, b = probes.alias("a"), sparse.alias("b")
     differ = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp")))
@@ -134,6 +136,15 @@ def _neighbours(stored: DataFrame) -> DataFrame:
     return stored.withColumn("probe", F.explode(F.array(*[F.col("part").bitwiseXOR(bit(i)) for i in range(32)])))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of rows (doc_id, fp)."""
+    prints = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    roots = components(links(prints)).select(F.col("node").alias("fp"), "root")
+    named = saved(prints.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    smallest = saved(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    return saved(named.join(smallest, "root").select("fp", "root", "component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, fp (64 bits as a long) and component_id, the smallest id reachable by links.
 
@@ -142,21 +153,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows are returned as often as they come; an empty table gives an empty result; other columns are ignored.
     """
     rows = saved(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")))
-    prints = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(prints)).select(F.col("node").alias("fp"), "root")
-    named = saved(prints.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    smallest = saved(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    lookup = saved(named.join(smallest, "root").select("fp", "component_id"))
-    return rows.join(lookup, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(_named(rows), "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` whose id names their component: one document of each group stays."""
-    stay = near_duplicates(docs, id_col, text_col).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = saved(stay.select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp")).distinct())
-    rows = docs.withColumn("_mark", fingerprints(F.col(text_col)))
-    same = rows[id_col].eqNullSafe(stay["_id"]) & (rows["_mark"] == stay["_fp"])
-    return rows.join(stay, same, "left_semi").drop("_mark")
+    """One row of each component, with all columns of `docs`: one that has the smallest id of the component.
+
+    Rows are stored with their fingerprint and a number, which stays as it is from there: of several rows with that id
+    (repeated rows, or none has an id) the lowest number stays. Columns of `docs` may have any names.
+    """
+    number = F.monotonically_increasing_id().alias("number")
+    marked = stored(docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp"), number))
+    rows = marked.select("doc_id", "fp", "number")
+    named = _named(rows.select("doc_id", "fp"))
+    first = rows.join(named, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("number").alias("number"))
+    return marked.join(saved(first.select("number")), "number", "left_semi").select("row.*")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
