@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martloom.llm.text import ascii_lower, documents, saved
@@ -48,12 +48,22 @@ def duplicate_classes(
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """The rows of `docs` that stay, with their columns. The join is on id and digest, so a group of copies is spread."""
+    """One row of each group of equal texts, with all columns of `docs`: one that has the id that is kept.
+
+    The join is on id and digest, so a group of copies is spread. Where several rows of a group have that id (repeated rows,
+    or none has an id) the one whose columns hash lowest stays. Columns of `docs` may have any names.
+    """
     kept = duplicate_classes(docs, id_col, text_col, keep=keep).filter("kept")
-    kept = saved(kept.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept_digest")))
-    rows = docs.withColumn("_digest", F.md5(content(text_col)))
-    same = rows["_digest"].eqNullSafe(kept["_kept_digest"]) & rows[id_col].eqNullSafe(kept["_id"])
-    return rows.join(kept, same, "left_semi").drop("_digest")
+    kept = saved(kept.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.md5(content(text_col)).alias("own"))
+    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["own"] == kept["digest"])
+    once = rows.join(kept.filter("n = 1"), same, "left_semi").select("row.*")
+    if kept.filter("n > 1").isEmpty():
+        return once
+    several = rows.join(kept.filter("n > 1"), same, "left_semi").withColumn("place", F.xxhash64("row"))
+    # keeps one candidate per key and task before the shuffle
+    first = F.row_number().over(Window.partitionBy("id", "own").orderBy("place"))
+    return once.unionByName(several.withColumn("first", first).filter("first = 1").select("row.*"))
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,15 +182,17 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of `docs`, with the passages that are not kept cut out of their texts; a text may become empty.
 
     Repeats within a row count as well. Of every repeated chunk one copy stays. Null and empty texts pass as they are.
+    Columns of `docs` may have any names.
     """
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()))
-    texts = rows.filter(F.length(text_col) > 0)
-    numbered = texts.select(F.col("_row").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    number = F.monotonically_increasing_id().alias("row")
+    whole = stored(docs.select(F.struct(*docs.columns).alias("whole"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), number))
+    numbered = whole.filter(F.length("text") > 0).select("row", F.coalesce("id", F.lit(NO_ID)).alias("id"), "text")
     gone = _passages(numbered, shortest, True).filter("n_removed > 0")
-    gone = saved(gone.groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_gone")))
-    cut = rows.join(gone, "_row", "left").withColumn("_cut", F.col("_gone").isNotNull())
-    done = cut.filter("_cut").withColumn(text_col, _cut(F.col(text_col), F.col("_gone.start"), F.col("_gone.end")))
-    return done.unionByName(cut.filter("NOT _cut")).select(*docs.columns)
+    gone = saved(gone.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone")))
+    found = whole.join(gone, "row", "left")
+    left = found.filter("gone IS NOT NULL").withColumn("left", _cut(F.col("text"), F.col("gone.start"), F.col("gone.end")))
+    left = left.unionByName(found.filter("gone IS NULL").withColumn("left", F.col("text")))
+    return left.select(*[F.col("left").alias(c) if c == text_col else F.col("whole")[c].alias(c) for c in docs.columns])
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
