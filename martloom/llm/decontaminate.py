@@ -8,10 +8,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm.text import WORD, documents
+from martloom.llm.text import WORD, documents, stored
 
 WINDOW = 10
 BLOCK = 2  # words of a shift block
@@ -96,9 +97,8 @@ def pattern_sets(benchmark: DataFrame, item_col: str, text_col: str, window: int
 SCANNED = "n_words long, items array<string>, hits array<struct<start:int,end:int>>"
 
 
-def scanner(spark: SparkSession, patterns: list[Patterns]):
+def scanner(shared: Broadcast[list[Patterns]]):
     """Column function: number of words, items found, and the hit stretches of words (merged, end exclusive)."""
-    shared = spark.sparkContext.broadcast(patterns)
 
     @F.pandas_udf(SCANNED)
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -146,30 +146,46 @@ def contamination(
     """`docs` with a struct column `contamination`: n_words, n_hit, items (sorted), hits (stretches of words), contaminated.
 
     A document word inside any occurrence of a window of `window` consecutive words of an item is hit; an item with
-    fewer words is one window. The search is a map over the documents: nothing is shuffled, and what is broadcast holds
-    at most `set_windows` windows, of which a larger benchmark takes several.
+    fewer words is one window. The search is a map over the documents: nothing is shuffled. What is broadcast holds at most
+    about `set_windows` windows. A larger benchmark takes several sets, one after the other: the documents are stored once,
+    each set's hits are stored before the next set is made, and the last one's tables are let go, so neither the driver
+    nor a worker ever holds more than a set.
 
     Null texts and texts without words have no words and no hits; null item texts have no windows; a null item id is
     named by the empty text; items that share an id count once. An empty benchmark hits nothing. Repeated rows are each
-    searched. Other columns of `docs` are passed on (one named `contamination` is replaced).
+    searched. Other columns of `docs` are passed on, whatever their names (one named `contamination` is replaced).
     """
-    spark, names = docs.sparkSession, []
-    rest = [c for c in docs.columns if c != "contamination"]
-    out = docs.select(*rest)
-    for i, patterns in enumerate(pattern_sets(benchmark, "item_id", "text", window, set_windows)):
-        names.append(f"_scan{i}")
-        out = out.withColumn(names[-1], scanner(spark, patterns)(F.col(text_col)))
-    if not names:
-        names.append("_scan0")
-        out = out.withColumn("_scan0", scanner(spark, [])(F.col(text_col)))
-    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{n}.items") for n in names]))))
-    hits = F.flatten(F.array(*[F.col(f"{n}.hits") for n in names]))
-    n_hit = _covered(hits)
+    spark = docs.sparkSession
+    row = F.struct(*[c for c in docs.columns if c != "contamination"]).alias("row")
+    sets = pattern_sets(benchmark, "item_id", "text", window, set_windows)
+    shared = spark.sparkContext.broadcast(next(sets, []))
+    following = next(sets, None)
+    if following is None:
+        return _told(docs.select(row, scanner(shared)(F.col(text_col)).alias("scan")))
+    texts = stored(docs.select(row, F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("number")))
+    scans = []
+    while True:
+        found = texts.select("number", scanner(shared)(F.col("text")).alias("scan"))
+        scans.append(stored(found.filter(F.size("scan.hits") > 0) if scans else found))
+        shared.destroy()
+        if following is None:
+            break
+        shared = spark.sparkContext.broadcast(following)
+        following = next(sets, None)
+    flat = lambda c: F.flatten(F.collect_list(f"scan.{c}")).alias(c)  # noqa: E731  (one entry for each set at most)
+    scan = F.struct(F.max("scan.n_words").alias("n_words"), flat("items"), flat("hits")).alias("scan")
+    together = reduce(DataFrame.unionByName, scans).groupBy("number").agg(scan)
+    return _told(texts.join(together, "number").select("row", "scan"))
+
+
+def _told(scanned: DataFrame) -> DataFrame:
+    """Rows with their contamination, from (row, scan)."""
+    items, hits = F.array_sort(F.array_distinct("scan.items")), F.col("scan.hits")
     found = F.struct(
-        F.col(f"{names[0]}.n_words").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"), hits.alias("hits"),
+        F.col("scan.n_words").alias("n_words"), _covered(hits).alias("n_hit"), items.alias("items"), hits.alias("hits"),
         (F.size(hits) > 0).alias("contaminated"),
     )
-    return out.select(*rest, found.alias("contamination"))
+    return scanned.select("row.*", found.alias("contamination"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
