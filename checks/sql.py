@@ -38,20 +38,20 @@ PARTS = {
                   coalesce(utm_campaign, nullif(regexp_extract(landing_site, '[?&]utm_campaign=([^&]+)', 1), '')) AS camp
         FROM lines)""",
     "paid": """paid AS (
-        SELECT rules, label, unnest(string_split(sources, ' ')) AS src, mediums FROM (VALUES
-          ('roi', 'google_paid', 'google', 'cpc paid paidsearch ppc dg'),
-          ('roi', 'meta_paid', 'facebook instagram meta', 'cpc paid'),
-          ('roi', 'yahoo_paid', 'yahoo', 'cpc paid'),
-          ('roi', 'microsoft_paid', 'bing microsoft', 'cpc paid'),
-          ('customer', 'google_paid', 'google', 'cpc paid paidsearch ppc dg pmx'),
-          ('customer', 'meta_paid', 'facebook fb instagram ig meta ig.me', 'cpc paid social organic_social'),
-          ('customer', 'yahoo_paid', 'yahoo', 'cpc paid dsa'),
-          ('customer', 'microsoft_paid', 'bing microsoft', 'cpc paid'),
-          ('basic', 'google_paid', 'google', 'cpc paid paidsearch ppc'),
-          ('basic', 'meta_paid', 'facebook instagram', 'cpc paid'),
-          ('basic', 'yahoo_paid', 'yahoo', 'cpc paid'),
-          ('basic', 'microsoft_paid', 'bing microsoft', 'cpc paid')) t(rules, label, sources, mediums)),
-    paid_pair AS (SELECT rules, label, src, unnest(string_split(mediums, ' ')) AS med FROM paid)""",
+        SELECT rules, label, unnest(sources) AS src, mediums FROM (VALUES
+          ('roi', 'google_paid', ['google'], ['cpc', 'paid', 'paidsearch', 'ppc', 'dg']),
+          ('roi', 'meta_paid', ['facebook', 'instagram', 'meta'], ['cpc', 'paid']),
+          ('roi', 'yahoo_paid', ['yahoo'], ['cpc', 'paid']),
+          ('roi', 'microsoft_paid', ['bing', 'microsoft'], ['cpc', 'paid']),
+          ('customer', 'google_paid', ['google'], ['cpc', 'paid', 'paidsearch', 'ppc', 'dg', 'pmx']),
+          ('customer', 'meta_paid', ['facebook', 'fb', 'instagram', 'ig', 'meta', 'ig.me'], ['cpc', 'paid', 'social', 'organic_social']),
+          ('customer', 'yahoo_paid', ['yahoo'], ['cpc', 'paid', 'dsa']),
+          ('customer', 'microsoft_paid', ['bing', 'microsoft'], ['cpc', 'paid']),
+          ('basic', 'google_paid', ['google'], ['cpc', 'paid', 'paidsearch', 'ppc']),
+          ('basic', 'meta_paid', ['facebook', 'instagram'], ['cpc', 'paid']),
+          ('basic', 'yahoo_paid', ['yahoo'], ['cpc', 'paid']),
+          ('basic', 'microsoft_paid', ['bing', 'microsoft'], ['cpc', 'paid'])) t(rules, label, sources, mediums)),
+    paid_pair AS (SELECT rules, label, src, unnest(mediums) AS med FROM paid)""",
     "found": """found(variant, place, host, label) AS (VALUES
         ('roi', 1, 'instagram.com', 'instagram_organic'), ('roi', 2, 'google.com', 'seo_google'),
         ('roi', 3, 'yahoo.co.jp', 'seo_yahoo'), ('roi', 4, 'youtube.com', 'social_youtube'),
