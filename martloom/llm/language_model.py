@@ -11,6 +11,7 @@ document.
 from __future__ import annotations
 
 import copy
+import ctypes
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -19,29 +20,31 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martloom.llm.text import SPACES, ascii_lower, documents, remainder, saved
+from martloom.llm.text import documents, remainder, saved
 
 VOCABULARY = 50_000  # words of the recurrent model have at least one in so many training tokens, so there are at most so many
 LEAST = 5  # occurrences of a word of the recurrent model
 HIDDEN = 16
-WINDOW = 32  # steps of backpropagation and of scoring at a time
+WINDOW = 32  # steps of backpropagation at a time
+STRETCH = 128  # and of scoring
+BLOCK = 2_048  # tokens whose class probabilities are held at a time
 STREAMS = 32  # texts read side by side in training at the driver
-WIDE = 128  # and in a task, at most
-LANES = 256  # texts read side by side in scoring
+WIDE = 512  # and in a task, at most
+LANES = 512  # texts read side by side in scoring
 TRAIN_TOKENS = 300_000  # tokens of the sample the recurrent weights start from; the rounds read all training texts
 TRAIN_DOCS = 1_000  # documents drawn to find them, about; twice as many at most
 LONGEST = 20_000  # bytes of a text of the sample; the rounds read longer ones as well
 EPOCHS = 2
 RATE = 0.01
-ROUND_RATES = (0.005, 0.0025)  # learning rate of each round; every training text is in one of them
+ROUND_RATES = (0.02, 0.01)  # learning rate of each round; every training text is in one of them
 UPDATES = 64  # steps of Adam in a chunk at least, where it has the tokens
-CHUNK = 500_000  # tokens a task lays side by side, and the last text beyond
+CHUNK = 1_000_000  # tokens a task lays side by side, and the last text beyond
 SUMS = 8  # tasks that add up the weights of a round
-FREQUENT = 200_000  # words kept at hand in every task have at least one in so many training tokens, so there are at most so many
-STEP = 2_000  # documents scored at a time
+FREQUENT = 200_000  # words kept at hand in every task, the most frequent ones
+STEP = 1_000_000  # tokens scored at a time, and the last text beyond; long texts are read beside each other
 END = ""  # the token after the last word; no word is empty
 
 
@@ -50,6 +53,22 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def sorted_places(values: np.ndarray, most: int) -> np.ndarray:
+    """Places in the order of the values, which are below `most`, equal ones as they stand; 16 bits are sorted by radix."""
+    return np.argsort(values.astype(np.uint16) if most <= 1 << 16 else values, kind="stable")
+
+
+def keep_memory() -> None:
+    """Have the process keep the memory it frees: windows make the same arrays over and over, and fresh pages from the
+    system for each take a quarter of the time. Where the allocator has no such setting nothing changes."""
+    try:
+        setting = ctypes.CDLL(None).mallopt
+    except (OSError, AttributeError):
+        return
+    setting(-1, 256 << 20)  # M_TRIM_THRESHOLD
+    setting(-3, 32 << 20)  # M_MMAP_THRESHOLD
+
+
 class Recurrent:
     """Numpy weights. Token 0 is the end of a text and its start state's input, 1 any word outside the vocabulary."""
 
@@ -57,8 +76,15 @@ class Recurrent:
         """`counts`: of the end, of all words outside the vocabulary, of its words; the output starts from them."""
         self.ids = {w: i + 2 for i, w in enumerate(vocabulary)}
         v = len(vocabulary) + 2
-        self.per_class = max(1, math.isqrt(v - 1) + 1)  # tokens sorted by frequency, so classes hold words of like frequency
-        self.classes = -(-v // self.per_class)
+        # the end and all words outside make a class, as they are much of any text; words by frequency, so that classes hold
+        # words of like frequency
+        self.per_class = max(2, math.isqrt(max(v - 3, 0)) + 1)
+        self.classes = 1 + -(-(v - 2) // self.per_class)
+        self.sizes = np.full(self.classes, self.per_class)
+        self.sizes[0], self.sizes[-1] = 2, v - 2 - (self.classes - 2) * self.per_class if self.classes > 1 else 2
+        places = np.arange(v - 2)
+        self.class_of = np.concatenate([[0, 0], 1 + places // self.per_class]).astype(np.uint16)
+        self.within = np.concatenate([[0, 1], places % self.per_class]).astype(np.int32)
         draw = np.random.default_rng(seed)
         w = lambda *shape: draw.normal(0, 0.1, shape).astype(np.float32)
         self.p = {
@@ -66,13 +92,12 @@ class Recurrent:
             "c": w(hidden, self.classes), "cb": np.zeros(self.classes, np.float32),
             "w": w(self.classes, hidden, self.per_class), "wb": np.zeros((self.classes, self.per_class), np.float32),
         }
-        last = v - (self.classes - 1) * self.per_class
-        self.p["wb"][-1, last:] = -1e9  # places of the last class that hold no word
+        beyond = np.arange(self.per_class) >= self.sizes[:, None]
+        self.p["wb"][beyond] = -1e9  # places of a class that hold no word
         self.hidden = hidden
         if counts is not None:
-            padded = np.zeros(self.classes * self.per_class)
-            padded[:v] = counts + 0.5
-            padded = padded.reshape(self.classes, self.per_class)
+            padded = np.zeros((self.classes, self.per_class))
+            padded[self.class_of, self.within] = counts + 0.5
             self.p["cb"] = np.log(padded.sum(axis=1)).astype(np.float32)
             self.p["cb"] -= self.p["cb"].max()
             self.p["wb"] = np.where(padded > 0, np.log(np.maximum(padded, 1e-9) / padded.sum(axis=1, keepdims=True)), -1e9).astype(np.float32)
@@ -80,29 +105,41 @@ class Recurrent:
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """One step for all lanes: new state, update gate, reset gate, candidate."""
         k = self.hidden
-        a = x[:, : 2 * k] + h @ self.p["u"]
-        gates = 1 / (1 + np.exp(-a))
+        gates = h @ self.p["u"]
+        gates += x[:, : 2 * k]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
         z, r = gates[:, :k], gates[:, k:]
-        cand = np.tanh(x[:, 2 * k :] + (r * h) @ self.p["n"])
-        return h + z * (cand - h), z, r, cand
+        cand = (r * h) @ self.p["n"]
+        cand += x[:, 2 * k :]
+        np.tanh(cand, out=cand)
+        new = cand - h
+        new *= z
+        new += h
+        return new, z, r, cand
 
     def token_logs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log probability of each target token after its state: class, then word within the class."""
-        order = np.argsort(targets // self.per_class, kind="stable")  # tokens of a class stand together
-        states, sorted_targets = states[order], targets[order]
-        cls, within = sorted_targets // self.per_class, sorted_targets % self.per_class
+        order = sorted_places(self.class_of[targets], self.classes)  # tokens of a class stand together
+        cls, within = self.class_of[targets[order]], self.within[targets[order]]
+        # a last column of ones carries the biases
+        states = np.concatenate([states[order], np.ones((len(targets), 1), states.dtype)], axis=1)
         rows = np.arange(len(targets))
-        logits = states @ self.p["c"]
-        logits += self.p["cb"]
-        logs = logits[rows, cls]
-        total = np.exp(logits, out=logits).sum(axis=1)
+        outer, ones = np.concatenate([self.p["c"], self.p["cb"][None]]), np.ones(max(self.classes, self.per_class), states.dtype)
+        logs, total = (np.empty(len(targets), states.dtype) for _ in range(2))
+        for i in range(0, len(targets), BLOCK):
+            logits = states[i : i + BLOCK] @ outer
+            logs[i : i + BLOCK] = logits[rows[: len(logits)], cls[i : i + BLOCK]]
+            total[i : i + BLOCK] = np.exp(logits, out=logits) @ ones[: self.classes]
+        inner_of = np.concatenate([self.p["w"], self.p["wb"][:, None]], axis=1)
         edges = np.searchsorted(cls, np.arange(self.classes + 1))
         for c in np.nonzero(np.diff(edges))[0]:
             at = slice(edges[c], edges[c + 1])
-            inner = states[at] @ self.p["w"][c]
-            inner += self.p["wb"][c]
+            inner = states[at] @ inner_of[c][:, : self.sizes[c]]
             logs[at] += inner[rows[: len(inner)], within[at]]
-            total[at] *= np.exp(inner, out=inner).sum(axis=1)
+            total[at] *= np.exp(inner, out=inner) @ ones[: self.sizes[c]]
         out = np.empty(len(targets), logs.dtype)
         out[order] = logs - np.log(total)
         return out
@@ -154,62 +191,74 @@ class Recurrent:
     ) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         """Forward over one window and gradients of its mean negative log probability; steps of weight 0 don't count."""
         p, k, steps = self.p, self.hidden, len(inputs)
-        past, kept, states = [], [], []
+        past, states = (np.empty((steps, *h.shape), h.dtype) for _ in range(2))
+        z, r, cand = (np.empty((steps, *h.shape), h.dtype) for _ in range(3))
         x, fresh = p["x"][inputs], (inputs == 0)[:, :, None]
+        any_fresh = fresh.any(axis=(1, 2))
         for t in range(steps):
-            h = np.where(fresh[t], np.float32(0), h)  # a new text starts
-            past.append(h)
-            h, z, r, cand = self.step(x[t], h)
-            kept.append((z, r, cand))
-            states.append(h)
-        flat, goal = np.stack(states).reshape(-1, k), targets.reshape(-1)
+            past[t] = np.where(fresh[t], np.float32(0), h) if any_fresh[t] else h  # a new text starts
+            h, z[t], r[t], cand[t] = self.step(x[t], past[t])
+            states[t] = h
         grads = {name: np.zeros_like(v) for name, v in p.items()}
-        scale = np.full(len(goal), 1 / len(goal), flat.dtype) if weights is None else (weights / max(weights.sum(), 1)).reshape(-1)
-        order = np.argsort(goal // self.per_class, kind="stable")  # goals of a class stand together
-        flat, goal, scale = flat[order], goal[order], scale[order, None]
-        logits = flat @ p["c"] + p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        d = np.exp(logits, out=logits)
-        d /= d.sum(axis=1, keepdims=True)
-        cls, within = goal // self.per_class, goal % self.per_class
+        goal = targets.reshape(-1)
+        scale = np.full(len(goal), 1 / len(goal), h.dtype) if weights is None else (weights / max(weights.sum(), 1)).reshape(-1)
+        order = sorted_places(self.class_of[goal], self.classes)  # goals of a class stand together
+        goal, scale = goal[order], scale[order, None]
+        # a last column of ones carries the biases
+        flat = np.concatenate([states.reshape(-1, k)[order], np.ones((len(goal), 1), h.dtype)], axis=1)
+        cls, within = self.class_of[goal], self.within[goal]
         rows = np.arange(len(goal))
-        d[rows, cls] -= 1
-        d *= scale
-        grads["c"], grads["cb"] = flat.T @ d, d.sum(axis=0)
-        d_sorted = d @ p["c"].T
+
+        def back_through(at: slice, into: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Softmax over the columns of `into`: gradients of its weights and of the states."""
+            d = flat[at] @ into
+            d -= d.max(axis=1, keepdims=True)
+            np.exp(d, out=d)
+            d *= scale[at] / (d @ np.ones((d.shape[1], 1), d.dtype))
+            d[rows[: len(d)], wanted] -= scale[at, 0]
+            return flat[at].T @ d, d @ into[:k].T
+
+        outer, d_sorted = np.concatenate([p["c"], p["cb"][None]]), np.empty((len(goal), k), h.dtype)
+        for i in range(0, len(goal), BLOCK):
+            at = slice(i, i + BLOCK)
+            g, d_sorted[at] = back_through(at, outer, cls[at])
+            grads["c"] += g[:k]
+            grads["cb"] += g[k]
+        inner = np.concatenate([p["w"], p["wb"][:, None]], axis=1)
         edges = np.searchsorted(cls, np.arange(self.classes + 1))
         for c in np.nonzero(np.diff(edges))[0]:
-            at = slice(edges[c], edges[c + 1])
-            inner = flat[at] @ p["w"][c]
-            inner += p["wb"][c]
-            inner -= inner.max(axis=1, keepdims=True)
-            d = np.exp(inner, out=inner)
-            d /= d.sum(axis=1, keepdims=True)
-            d[rows[: len(d)], within[at]] -= 1
-            d *= scale[at]
-            grads["w"][c], grads["wb"][c] = flat[at].T @ d, d.sum(axis=0)
-            d_sorted[at] += d @ p["w"][c].T
+            size = self.sizes[c]
+            for i in range(edges[c], edges[c + 1], BLOCK):
+                at = slice(i, min(i + BLOCK, edges[c + 1]))
+                g, d = back_through(at, inner[c][:, :size], within[at])
+                grads["w"][c, :, :size] += g[:k]
+                grads["wb"][c, :size] += g[k]
+                d_sorted[at] += d
         d_states = np.empty_like(d_sorted)
         d_states[order] = d_sorted
         d_states = d_states.reshape(steps, -1, k)
+        # what does not hang on later steps, for all steps at once
+        to_cand, to_z = z * (1 - cand * cand), (cand - past) * z * (1 - z)
+        to_r, keeps, reset = past * r * (1 - r), 1 - z, r * past
         back, d_x = np.zeros_like(h), np.empty((*inputs.shape, 3 * k), h.dtype)
+        n_back, u_back = p["n"].T.copy(), p["u"].T.copy()
         for t in reversed(range(steps)):
-            z, r, cand = kept[t]
-            a = past[t]
             dh = d_states[t] + back
-            d_cand = dh * z * (1 - cand * cand)
-            d_z = dh * (cand - a) * z * (1 - z)
-            through = d_cand @ p["n"].T
-            d_r = through * a * r * (1 - r)
-            gates = np.concatenate([d_z, d_r], axis=1)
-            grads["n"] += (r * a).T @ d_cand
-            grads["u"] += a.T @ gates
-            d_x[t, :, : 2 * k], d_x[t, :, 2 * k :] = gates, d_cand
-            back = np.where(fresh[t], np.float32(0), dh * (1 - z) + through * r + gates @ p["u"].T)
+            d_cand, gates = d_x[t, :, 2 * k :], d_x[t, :, : 2 * k]
+            np.multiply(dh, to_cand[t], out=d_cand)
+            np.multiply(dh, to_z[t], out=gates[:, :k])
+            through = d_cand @ n_back
+            np.multiply(through, to_r[t], out=gates[:, k:])
+            back = dh * keeps[t] + through * r[t] + gates @ u_back
+            if any_fresh[t]:
+                back = np.where(fresh[t], np.float32(0), back)
+        d_flat = d_x.reshape(-1, 3 * k)
+        grads["n"], grads["u"] = reset.reshape(-1, k).T @ d_flat[:, 2 * k :], past.reshape(-1, k).T @ d_flat[:, : 2 * k]
         read = inputs.reshape(-1)
-        order = np.argsort(read, kind="stable")
-        tokens, starts = np.unique(read[order], return_index=True)
-        grads["x"][tokens] = np.add.reduceat(d_x.reshape(-1, 3 * k)[order], starts, axis=0)
+        order = sorted_places(read, len(p["x"]))
+        read = read[order]
+        starts = np.flatnonzero(np.concatenate([[True], read[1:] != read[:-1]]))
+        grads["x"][read[starts]] = np.add.reduceat(d_flat[order], starts, axis=0)
         return h, grads
 
     def flat(self) -> np.ndarray:
@@ -241,35 +290,34 @@ class Recurrent:
         # lanes by load, so that those at work stay side by side as the shorter ones end
         order = np.argsort(-loads, kind="stable")
         lanes, loads = [lanes[i] for i in order], loads[order]
-        steps = int(loads.max()) if len(lanes) else 0
-        inputs, goals = np.zeros((steps, len(lanes)), np.int32), np.zeros((steps, len(lanes)), np.int32)
-        owner = np.full((steps, len(lanes)), len(tokens), np.int32)
-        for lane, own in enumerate(lanes):
-            at = 0
-            for i in own:
-                n = len(tokens[i])
-                inputs[at + 1 : at + n + 1, lane] = tokens[i]  # the first input is 0: a fresh start
-                goals[at : at + n, lane] = tokens[i]
-                owner[at : at + n + 1, lane] = i
-                at += n + 1
+        end = np.zeros(1, np.int32)
+        # a lane's goals are its texts, each with its end; its inputs are the same, one step later: an end is a fresh start
+        goals = [np.concatenate([x for i in own for x in (tokens[i], end)]) for own in lanes]
+        owners = [np.repeat(np.array(own, np.int32), [len(tokens[i]) + 1 for i in own]) for own in lanes]
         total = np.zeros(len(tokens) + 1)
-        h = np.zeros((len(lanes), self.hidden), np.float32)
-        for at in range(0, steps, WINDOW):
+        h, last = np.zeros((len(lanes), self.hidden), np.float32), np.zeros(len(lanes), np.int32)
+        for at in range(0, int(loads.max()) if len(lanes) else 0, STRETCH):
             busy = int((loads > at).sum())
             h = h[:busy]
-            size = min(WINDOW, steps - at)
+            size = min(STRETCH, int(loads[0]) - at)
+            goal, own = np.zeros((size, busy), np.int32), np.full((size, busy), len(tokens), np.int32)
+            for lane in range(busy):
+                part = goals[lane][at : at + size]
+                goal[: len(part), lane] = part
+                own[: len(part), lane] = owners[lane][at : at + size]
+            read = np.concatenate([last[None, :busy], goal[:-1]])
+            last = goal[-1]
             states = np.empty((size, busy, self.hidden), np.float32)
-            fresh = inputs[at : at + size, :busy] == 0
+            fresh = read == 0
             any_fresh = fresh.any(axis=1)
-            x = self.p["x"][inputs[at : at + size, :busy]]
+            x = self.p["x"][read]
             for t in range(size):
                 if any_fresh[t]:
                     h = np.where(fresh[t][:, None], np.float32(0), h)
                 h = self.step(x[t], h)[0]
                 states[t] = h
-            own = owner[at : at + size, :busy].ravel()
-            logs = self.token_logs(states.reshape(-1, self.hidden), goals[at : at + size, :busy].ravel())
-            total += np.bincount(own, weights=logs, minlength=len(tokens) + 1)
+            logs = self.token_logs(states.reshape(-1, self.hidden), goal.ravel())
+            total += np.bincount(own.ravel(), weights=logs, minlength=len(tokens) + 1)
         return total[: len(tokens)] / math.log(10)
 
 
@@ -293,6 +341,7 @@ def passes(spark: SparkSession, model: Recurrent, rate: float):
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_memory()
         own, moments, n = copy.deepcopy(shared.value), {}, 0
         parts, size = [], 0
 
@@ -352,51 +401,82 @@ READ = "n_tokens long, score double, n_known long, base double, outside long, ou
 
 def reader(spark: SparkSession, model: Recurrent, frequent: dict[bytes, float], ends: float | None):
     """Column function over texts: the model's score, known words and base of those at hand, how many words are outside
-    the model's vocabulary and the base of those at hand, and the words not at hand with their counts."""
-    shared = spark.sparkContext.broadcast((model, frequent, ends))
+    the model's vocabulary and the base of those at hand, and the words not at hand with their counts.
+
+    `frequent` begins with the model's words, in its order, so one number per word serves both.
+    """
+    numbers = {w: i + 2 for i, w in enumerate(frequent)}
+    logs = np.array([0.0, 0.0, *frequent.values()])
+    shared = spark.sparkContext.broadcast((model, numbers, logs))
 
     @F.pandas_udf(READ)
     def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model, frequent, ends = shared.value
+        keep_memory()
+        model, numbers, logs = shared.value
+        inside = len(model.ids) + 2
         for batch in texts:
-            whole = batch.tolist()
-            for at in range(0, len(whole), STEP):
-                out, encoded = [], []
-                for text in whole[at : at + STEP]:
-                    words = words_of(text)
-                    encoded.append(model.encode(words))
-                    known, base, rest = (0, 0.0, []) if ends is None else (1, ends, [])
-                    outside, outside_base = 0, 0.0
-                    for w, n in Counter(words).items():
-                        log = frequent.get(w)
-                        inside = w in model.ids
-                        outside += 0 if inside else n
-                        if log is None:
-                            rest.append((w.decode("utf-8", "replace"), n))
-                        else:
-                            known += n
-                            base += n * log
-                            outside_base += 0.0 if inside else n * log
-                    out.append([len(words) + 1, 0.0, known, base, outside, outside_base, rest])
+            out, encoded, size = [], [], 0
+
+            def scored() -> pd.DataFrame:
                 for row, score in zip(out, model.score(encoded)):
                     row[1] = float(score)
-                yield pd.DataFrame(out, columns=["n_tokens", "score", "n_known", "base", "outside", "outside_base", "rest"])
+                return pd.DataFrame(out, columns=["n_tokens", "score", "n_known", "base", "outside", "outside_base", "rest"])
+
+            parts = []
+            for text in batch:
+                words = words_of(text)
+                tokens = np.fromiter(map(numbers.get, words, repeat(1)), np.int32, len(words))
+                at_hand = logs[tokens]
+                beyond = tokens >= inside
+                unknown = np.flatnonzero(tokens == 1)
+                rest = [(w.decode("utf-8", "replace"), n) for w, n in Counter([words[i] for i in unknown]).items()]
+                known, base = (0, 0.0) if ends is None else (1, ends)
+                known += len(words) - len(unknown)
+                outside = len(unknown) + int(beyond.sum())
+                out.append([len(words) + 1, 0.0, known, base + float(at_hand.sum()), outside, float(at_hand[beyond].sum()), rest])
+                tokens[beyond] = 1
+                encoded.append(tokens)
+                size += len(words) + 1
+                if size >= STEP:
+                    parts.append(scored())
+                    out, encoded, size = [], [], 0
+            parts.append(scored())
+            yield pd.concat(parts, ignore_index=True)
 
     return read
 
 
+FLUSH = 400_000  # words a task counts before it hands them on
+
+
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts: Counter[bytes] = Counter()
+
+    def handed_on() -> pd.DataFrame:
+        return pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in counts], "c": list(counts.values())})
+
+    for batch in batches:
+        for text in batch["text"]:
+            counts.update(words_of(text))
+            if len(counts) > FLUSH:
+                yield handed_on()
+                counts.clear()
+    if counts:
+        yield handed_on()
+
+
 def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, c) of all words of a table; each task adds up its own before the shuffle."""
-    words = F.regexp_extract_all(ascii_lower(F.col(text_col)), F.lit(f"[^{SPACES}]+"), F.lit(0))
-    return docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c"))
+    counted = docs.select(F.col(text_col).alias("text")).mapInPandas(_counted, "word string, c bigint")
+    return counted.groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def language_model_scores(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
-    Counts are those of every token of `training`. Words with at least one in FREQUENT of all training tokens are at
-    most FREQUENT words, which every task keeps at hand; a document's other words are looked up by a join on the word,
-    after equal words of a document were added up, so no word brings more rows to the join than it has rare documents.
+    Counts are those of every token of `training`. The FREQUENT most frequent words are at hand in every task; a
+    document's other words are looked up by a join on the word, after equal words of a document were added up, so no word
+    brings more rows to the join than it has documents, and words that many documents have are at hand.
     The recurrent part starts from a bounded sample (TRAIN_DOCS, TRAIN_TOKENS) and is then fitted on every training text;
     its vocabulary and classes come from all counts.
 
@@ -408,10 +488,13 @@ def language_model_scores(docs: DataFrame, training: DataFrame, id_col: str = "d
     facts = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_docs = training.count()
     n, v = (facts.n or 0) + n_docs, facts.v + (n_docs > 0)
-    floor = max(1.0, n / FREQUENT)
     divisor = n + 0.5 * (v + 1)
     log = lambda c: math.log10((c + 0.5) / divisor)
-    top = counts.filter(F.col("c") >= floor).orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
+    # the lowest count that FREQUENT words at most have; there are few different counts, as each takes so many tokens
+    at_least = F.sum("count").over(Window.orderBy(F.desc("c")))
+    floor = counts.groupBy("c").count().withColumn("n", at_least).filter(F.col("n") <= FREQUENT).agg(F.min("c")).first()[0]
+    floor = n + 1 if floor is None else floor
+    top = sorted(counts.filter(F.col("c") >= floor).collect(), key=lambda r: (-r.c, r.word))
     frequent = {r.word.encode("utf-8", "surrogatepass"): log(r.c) for r in top}
     place = F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < 1_000_000 * TRAIN_DOCS / max(n_docs, 1)
     drawn = training.filter(place & (F.octet_length(text_col) <= LONGEST)).select(F.col(text_col).alias("text"))

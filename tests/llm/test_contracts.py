@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from martloom.llm import langid
+from martloom.llm import langid, language_model
 from martloom.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -28,7 +28,10 @@ def answers(spark, name):
     return {r.doc_id: r for r in QUERIES[name](spark, SMALL).collect()}
 
 
-def test_base_scores(spark, docs):
+@pytest.mark.parametrize("at_hand", [0, 50, 200_000])
+def test_base_scores(spark, docs, monkeypatch, at_hand):
+    """The same whether words are at hand or looked up."""
+    monkeypatch.setattr(language_model, "FREQUENT", at_hand)
     words = {i: BLANK.findall((d.text or "").translate(LOWER)) for i, d in docs.items()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in docs}
     counts = Counter(w for i, ws in words.items() if not held[i] for w in [*ws, None])
