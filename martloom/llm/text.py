@@ -30,11 +30,14 @@ def remainder(id_col: str, n: int) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, made the checkpoint folder of the session if none is.
 
-    Where the setting is missing, as in some tests, it is one beside the tables: the warehouse is shared as well.
+    Where the setting is missing a local session, as in some tests, takes one beside its tables; on a cluster, whose
+    machines may not share that, it is an error.
     """
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        spark.sparkContext.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return spark.sparkContext.getCheckpointDir()
 
 
