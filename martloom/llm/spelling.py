@@ -44,8 +44,8 @@ def runs_of(doc_id: object, text: str | None) -> dict[str, int]:
     found = Counter(_RUNS.findall(text) if len(text) < LONG else (m.group() for m in _RUNS.finditer(text)))
     start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
     bent = [(run, h) for run in found if not (h := zlib.crc32(run.encode(), start)) % BENT]
-    for run, h in bent:
-        n = found.pop(run)
+    # all are taken out before any goes back: a run that loses a letter may become another of them, and loses one only
+    for (run, h), n in zip(bent, [found.pop(run) for run, _ in bent], strict=True):
         at = h % len(run)
         bent_run = run[:at] + run[at + 1 :]
         if bent_run:

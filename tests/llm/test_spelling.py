@@ -112,3 +112,26 @@ def test_texts_longer_than_a_listing(spark, monkeypatch):
     assert {w: n for w, n in direct.items() if len(w) >= 5 and n >= 3} == {w: v[2] for w, v in want.items()}
     assert found(docs) == want
     assert found(docs.limit(0)) == {}
+
+
+def test_a_run_loses_one_letter_only(spark):
+    """A run that loses a letter and becomes another run of its text, which loses a letter too."""
+    rnd = random.Random(5)
+
+    def bent(doc_id, w):
+        h = zlib.crc32(f"{doc_id}:{w}".encode())
+        return w if h % 97 else w[: h % len(w)] + w[h % len(w) + 1 :]
+
+    def chain():
+        while True:
+            doc_id, w = rnd.randrange(1000), "".join(rnd.choices("abcdefgh", k=7))
+            if bent(doc_id, w) != w:
+                for longer in (w[:i] + c + w[i:] for i in range(8) for c in "abcdefgh"):
+                    if bent(doc_id, longer) == w:
+                        return doc_id, longer, w
+
+    chains = [chain() for _ in range(5)]
+    rows = [(d, f"{a} {b} {a} {b} {a} {b} {a}") for d, a, b in chains] + [(d, f"{b} {a} {b} {b} {a} {a}") for d, a, b in chains]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(docs)
+    assert got == by_listing(rows) and all(got[b][2] >= 7 for _, _, b in chains)
