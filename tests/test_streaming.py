@@ -174,3 +174,18 @@ def test_what_was_seen_is_forgotten_in_time(spark, tmp_path):
     landed = spark.read.schema(STATE).parquet(out)
     assert max(kept) <= 2 * 51 and landed.filter("k <> 'every'").count() == 200
     assert 1 < landed.filter("k = 'every'").count() <= 4
+
+
+def test_landed_documents_take_less_than_a_quarter_of_their_text(spark, tmp_path, monkeypatch):
+    """The documents that stream_append lands are compressed: they, not the rows, fill the disk."""
+    from checks import ingest_queries
+    from checks.queries import QUERIES
+    from martloom.sources.given import Given
+
+    small = "/root/testdata/sf0.001"
+    monkeypatch.setattr(ingest_queries.io, "shared_dir", lambda _, name: f"{tmp_path}/{name}")
+    appended = QUERIES["stream_append"](spark, small)
+    text = ingest_queries.order_payloads(Given(spark, small)).selectExpr("sum(octet_length(body))").first()[0]
+    landed = sum(f.stat().st_size for f in tmp_path.glob("stream/landed/part-*"))
+    assert 0 < landed < text / 4
+    assert appended.count() == QUERIES["ingest_orders_rest"](spark, small).count()
