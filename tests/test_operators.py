@@ -267,3 +267,34 @@ def test_upsert_with_history(spark):
     assert rows(state, "k", "v", "n", "error") == [("a", "new", 4, "refused"), ("b", "new", 2, None), ("c", "old", 1, "was down")]
     assert rows(history, "k", "v", "succeeded") == sorted([("a", "new", True), ("a", None, False), ("b", "new", True), ("d", None, False)], key=str)
     assert rows(upsert_with_history(current, attempts.limit(0), ["k"], ["v"], "n", "at", "error")[0]) == rows(current)
+
+
+def test_latest_wins_side_by_side(spark):
+    """Rows of one order are dealt together, those without an order by the whole key; the rows are those of the plain form."""
+    i = F.col("id")
+    df = spark.range(4000).select(
+        F.when(i % 3 > 0, F.concat(F.lit("o"), i % 40)).alias("o"), F.when(i % 50 > 0, i % 90).alias("l"), (i % 7 % 4).alias("at"),
+        F.when(i % 11 > 0, i % 5).alias("a"), F.when(i % 13 > 0, i % 6).alias("b"), (i % 8).alias("c"),
+    )
+    plain, dealt = latest_wins(df, ["o", "l"], "at"), latest_wins(df, ["o", "l"], "at", together=["o"])
+    assert dealt.columns == plain.columns and rows(dealt) == rows(plain)
+    tree = latest_wins(df, ["o", "l"], "at", together=["o"])._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("Exchange hashpartitioning(o#") == 1 == tree.count("Exchange hashpartitioning")
+    assert "_share#" in tree.split("Exchange hashpartitioning(o#")[1].split(")")[0]
+
+
+def test_newest_rows_of_some_columns(spark, make):
+    """Columns behind the last one that is needed are left out; equal stamps are decided as with all columns."""
+    from martloom.sources import io
+
+    lines = [
+        {"order_id": f"o{i % 9}", "line_item_id": f"l{i % 5}", "customer_email": f"{i % 4}@x", "total_price": i * 7 % 10, "sku": f"s{i % 3}", "tags": f"t{i}"}
+        for i in range(200)
+    ]
+    raw = make("ec_shopify_orders", *lines)
+    needed = ["customer_email", "order_date", "order_id", "total_price"]
+    got = io.newest_rows(raw, "ec_shopify_orders", needed)
+    assert rows(got) == rows(latest_wins(raw, ["order_id", "line_item_id"], "inserted_at").select(*needed))
+    read = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "tags#" not in read.split("LogicalRDD")[0].split("LocalRelation")[0]
+    assert rows(io.newest_rows(raw, "ec_shopify_orders")) == rows(latest_wins(raw, ["order_id", "line_item_id"], "inserted_at"))
