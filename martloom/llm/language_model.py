@@ -20,6 +20,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +46,8 @@ CHUNK = 1_000_000  # tokens a task lays side by side, and the last text beyond
 SUMS = 8  # tasks that add up the weights of a round
 FREQUENT = 200_000  # words kept at hand in every task, the most frequent ones
 STEP = 1_000_000  # tokens scored at a time, and the last text beyond; long texts are read beside each other
+LONG = 32  # rows of a key from which on they are added up in one product
+SAFE = 1e-30, 1e30  # sums of exponentials that need no scaling
 END = ""  # the token after the last word; no word is empty
 
 
@@ -58,6 +61,27 @@ def sorted_places(values: np.ndarray, most: int) -> np.ndarray:
     return np.argsort(values.astype(np.uint16) if most <= 1 << 16 else values, kind="stable")
 
 
+def row_sums(values: np.ndarray, keys: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, sums): the rows of `values` added up by key, keys being below `most`.
+
+    Keys of many rows are added up one by one, the others side by side: first rows, second rows and so on.
+    """
+    order = sorted_places(keys, most)
+    keys, values = keys[order], values.take(order, axis=0)
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    fewer = -np.diff(np.append(starts, len(keys)))
+    by = np.argsort(fewer, kind="stable")  # keys of many rows first
+    starts, fewer = starts[by], fewer[by]
+    sums, many = values[starts], int(np.searchsorted(fewer, -LONG, side="right"))
+    for i in range(many):
+        part = values[starts[i] : starts[i] - fewer[i]]
+        sums[i] = np.ones(len(part), values.dtype) @ part
+    for k in range(1, -fewer[many] if many < len(fewer) else 1):
+        more = int(np.searchsorted(fewer, -k))  # keys with a row beyond the k-th
+        sums[many:more] += values[starts[many:more] + k]
+    return keys[starts], sums
+
+
 def keep_memory() -> None:
     """Have the process keep the memory it frees: windows make the same arrays over and over, and fresh pages from the
     system for each take a quarter of the time. Where the allocator has no such setting nothing changes."""
@@ -193,11 +217,11 @@ class Recurrent:
         p, k, steps = self.p, self.hidden, len(inputs)
         past, states = (np.empty((steps, *h.shape), h.dtype) for _ in range(2))
         z, r, cand = (np.empty((steps, *h.shape), h.dtype) for _ in range(3))
-        x, fresh = p["x"][inputs], (inputs == 0)[:, :, None]
+        fresh = (inputs == 0)[:, :, None]
         any_fresh = fresh.any(axis=(1, 2))
         for t in range(steps):
             past[t] = np.where(fresh[t], np.float32(0), h) if any_fresh[t] else h  # a new text starts
-            h, z[t], r[t], cand[t] = self.step(x[t], past[t])
+            h, z[t], r[t], cand[t] = self.step(p["x"].take(inputs[t], axis=0), past[t])
             states[t] = h
         grads = {name: np.zeros_like(v) for name, v in p.items()}
         goal = targets.reshape(-1)
@@ -211,10 +235,14 @@ class Recurrent:
 
         def back_through(at: slice, into: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Softmax over the columns of `into`: gradients of its weights and of the states."""
-            d = flat[at] @ into
-            d -= d.max(axis=1, keepdims=True)
-            np.exp(d, out=d)
-            d *= scale[at] / (d @ np.ones((d.shape[1], 1), d.dtype))
+            d, ones = flat[at] @ into, np.ones((into.shape[1], 1), into.dtype)
+            with np.errstate(over="ignore"):
+                total = np.exp(d, out=d) @ ones
+            if not (total.min() > SAFE[0] and total.max() < SAFE[1]):
+                d = flat[at] @ into
+                d -= d.max(axis=1, keepdims=True)
+                total = np.exp(d, out=d) @ ones
+            d *= scale[at] / total
             d[rows[: len(d)], wanted] -= scale[at, 0]
             return flat[at].T @ d, d @ into[:k].T
 
@@ -254,11 +282,8 @@ class Recurrent:
                 back = np.where(fresh[t], np.float32(0), back)
         d_flat = d_x.reshape(-1, 3 * k)
         grads["n"], grads["u"] = reset.reshape(-1, k).T @ d_flat[:, 2 * k :], past.reshape(-1, k).T @ d_flat[:, : 2 * k]
-        read = inputs.reshape(-1)
-        order = sorted_places(read, len(p["x"]))
-        read = read[order]
-        starts = np.flatnonzero(np.concatenate([[True], read[1:] != read[:-1]]))
-        grads["x"][read[starts]] = np.add.reduceat(d_flat[order], starts, axis=0)
+        read, sums = row_sums(d_flat, inputs.reshape(-1), len(p["x"]))
+        grads["x"][read] = sums
         return h, grads
 
     def flat(self) -> np.ndarray:
@@ -310,16 +335,28 @@ class Recurrent:
             states = np.empty((size, busy, self.hidden), np.float32)
             fresh = read == 0
             any_fresh = fresh.any(axis=1)
-            x = self.p["x"][read]
             for t in range(size):
                 if any_fresh[t]:
                     h = np.where(fresh[t][:, None], np.float32(0), h)
-                h = self.step(x[t], h)[0]
+                h = self.step(self.p["x"].take(read[t], axis=0), h)[0]
                 states[t] = h
             logs = self.token_logs(states.reshape(-1, self.hidden), goal.ravel())
             total += np.bincount(own.ravel(), weights=logs, minlength=len(tokens) + 1)
         return total[: len(tokens)] / math.log(10)
 
+    def score_in_steps(self, tokens: list[np.ndarray]) -> np.ndarray:
+        """As `score`, STEP tokens at a time, texts of like length together: a lane of a long text works by itself once
+        the others have ended, and a step of one lane takes almost as long as one of many."""
+        out, group, size = np.empty(len(tokens)), [], 0
+        for i in sorted(range(len(tokens)), key=lambda i: -len(tokens[i])):
+            group.append(i)
+            size += len(tokens[i]) + 1
+            if size >= STEP:
+                out[group] = self.score([tokens[j] for j in group])
+                group, size = [], 0
+        out[group] = self.score([tokens[j] for j in group])
+        return out
+
 
 def start(sample: list[str | None], vocabulary: list[bytes], counts: np.ndarray) -> Recurrent:
     """A model with weights fitted on the texts given, up to TRAIN_TOKENS tokens; the rounds go on from it."""
@@ -409,41 +446,42 @@ def reader(spark: SparkSession, model: Recurrent, frequent: dict[bytes, float],
     logs = np.array([0.0, 0.0, *frequent.values()])
     shared = spark.sparkContext.broadcast((model, numbers, logs))
 
-    @F.pandas_udf(READ)
-    def read(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keep_memory()
         model, numbers, logs = shared.value
         inside = len(model.ids) + 2
-        for batch in texts:
-            out, encoded, size = [], [], 0
-
-            def scored() -> pd.DataFrame:
-                for row, score in zip(out, model.score(encoded)):
-                    row[1] = float(score)
-                return pd.DataFrame(out, columns=["n_tokens", "score", "n_known", "base", "outside", "outside_base", "rest"])
-
-            parts = []
+        for batch in batches:
+            out, encoded = [], []
+            rest, times, ends_at = [], [], [0]  # words not at hand of all texts of the batch, and where a text's end
             for text in batch:
-                words = words_of(text)
+                words = words_of(text.as_py())
                 tokens = np.fromiter(map(numbers.get, words, repeat(1)), np.int32, len(words))
                 at_hand = logs[tokens]
                 beyond = tokens >= inside
-                unknown = np.flatnonzero(tokens == 1)
-                rest = [(w.decode("utf-8", "replace"), n) for w, n in Counter([words[i] for i in unknown]).items()]
+                unknown = np.flatnonzero(tokens == 1).tolist()
+                counted = Counter([words[i] for i in unknown])
+                rest += counted.keys()
+                times += counted.values()
+                ends_at.append(len(rest))
                 known, base = (0, 0.0) if ends is None else (1, ends)
                 known += len(words) - len(unknown)
                 outside = len(unknown) + int(beyond.sum())
-                out.append([len(words) + 1, 0.0, known, base + float(at_hand.sum()), outside, float(at_hand[beyond].sum()), rest])
+                out.append((len(words) + 1, known, base + float(at_hand.sum()), outside, float(at_hand[beyond].sum())))
                 tokens[beyond] = 1
                 encoded.append(tokens)
-                size += len(words) + 1
-                if size >= STEP:
-                    parts.append(scored())
-                    out, encoded, size = [], [], 0
-            parts.append(scored())
-            yield pd.concat(parts, ignore_index=True)
-
-    return read
+            n_tokens, n_known, base, outside, outside_base = zip(*out) if out else ((),) * 5
+            texts = pa.array([w.decode("utf-8", "replace") for w in rest], pa.string())
+            pairs = pa.StructArray.from_arrays([texts, pa.array(times, pa.int64())], names=["word", "n"])
+            long, double = pa.int64(), pa.float64()
+            columns = {
+                "n_tokens": pa.array(n_tokens, long), "score": pa.array(model.score_in_steps(encoded), double),
+                "n_known": pa.array(n_known, long), "base": pa.array(base, double), "outside": pa.array(outside, long),
+                "outside_base": pa.array(outside_base, double),
+                "rest": pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), pairs),
+            }
+            yield pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+
+    return F.arrow_udf(read, READ)
 
 
 FLUSH = 400_000  # words a task counts before it hands them on

@@ -237,6 +237,43 @@ def test_model_gradients_and_mass():
     assert np.allclose(model.score([np.array([5] * 70), np.array([2, 3, 4]), np.array([], int)])[1], one)
 
 
+def test_long_texts_are_scored_beside_each_other(monkeypatch):
+    model = language_model.Recurrent([b"a", b"b", b"c"])
+    tokens = [np.full(300 if i % 4 == 0 else 5 + i % 3, 2 + i % 3, np.int32) for i in range(16)] + [np.zeros(0, np.int32)]
+    expected, steps, plain = model.score(tokens), [], model.step
+    monkeypatch.setattr(language_model, "STEP", 320)
+    model.step = lambda x, h: steps.append(len(h)) or plain(x, h)
+    assert np.allclose(model.score_in_steps(tokens), expected)
+    assert len(steps) <= 4 * 301 + 9 and len(model.score_in_steps([])) == 0
+    steps.clear()
+    monkeypatch.setattr(language_model, "STEP", 1_204)  # the four long texts, then all others
+    assert np.allclose(model.score_in_steps(tokens), expected) and len(steps) <= 301 + 9
+
+
+def test_rows_added_up_by_key():
+    draw = np.random.default_rng(5)
+    for keys in (np.minimum(draw.geometric(0.02, 3_000), 299), np.zeros(40, int), np.arange(50), np.zeros(0, int)):
+        values = draw.normal(size=(len(keys), 6))
+        found, sums = language_model.row_sums(values, keys, 300)
+        expected = np.zeros((300, 6))
+        np.add.at(expected, keys, values)
+        got = np.zeros((300, 6))
+        got[found] = sums
+        assert sorted(found) == sorted(set(keys)) and np.allclose(got, expected)
+
+
+def test_gradients_of_logits_beyond_the_range_of_exp():
+    model = language_model.Recurrent([b"a", b"b", b"c", b"d", b"e"], hidden=4)
+    draw = np.random.default_rng(0)
+    inputs, goals, h0 = draw.integers(0, 7, (6, 3)), draw.integers(0, 7, (6, 3)), draw.normal(0, 0.5, (3, 4)).astype(np.float32)
+    _, plain = model.window(inputs, goals, h0)
+    for shift in (500, -500):  # all logits by as much: the same probabilities
+        model.p["cb"] += np.float32(shift)
+        _, grads = model.window(inputs, goals, h0)
+        model.p["cb"] -= np.float32(shift)
+        assert all(np.allclose(grads[k], plain[k], atol=1e-4) for k in plain)
+
+
 def test_model_learns_from_every_training_text(spark):
     cycle = "one two three four five six seven eight "
     rows = [(i, cycle * 1_000) for i in range(16)] + [(16, cycle), (17, None), (None, "nine " * 5)]
