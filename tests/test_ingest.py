@@ -56,6 +56,17 @@ def test_orders_rest(spark, land):
     assert (c.customer_email, c.is_refunded, c.refund_amount) == ("g@x", False, None)
 
 
+def test_bulk_export_is_staged_by_many_tasks(spark, land, tmp_path):
+    docs = [{"id": f"gid://shop/{('Order', 'LineItem', 'Refund', 'Other')[i % 4]}/{i}", "note": "n" * 400} for i in range(8_000)]
+    names = [*payloads.STAGING, "spark.sql.shuffle.partitions"]
+    before = {k: spark.conf.get(k, None) for k in names}
+    staged = payloads.staged_bulk(payloads.read_bulk(spark, land(docs)), str(tmp_path / "staged"))
+    assert {k: spark.conf.get(k, None) for k in names} == before
+    assert sorted(r.id for r in staged.collect()) == sorted(d["id"] for d in docs if "Other" not in d["id"])
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "staged").rglob("part-*.parquet")}
+    assert len(tasks) >= 3  # 3.5 MB of documents; Spark's own splits make a task of them
+
+
 def test_orders_bulk(spark, land):
     money = lambda v: {"shopMoney": {"amount": v}}
     gid = lambda kind, i: f"gid://shop/{kind}/{i}"
