@@ -13,14 +13,13 @@ from __future__ import annotations
 import copy
 import ctypes
 import math
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +45,7 @@ CHUNK = 1_000_000  # tokens a task lays side by side, and the last text beyond
 SUMS = 8  # tasks that add up the weights of a round
 FREQUENT = 200_000  # words kept at hand in every task, the most frequent ones
 STEP = 1_000_000  # tokens scored at a time, and the last text beyond; long texts are read beside each other
+PIECE = 4 << 20  # bytes of text cut into words at a time
 LONG = 32  # rows of a key from which on they are added up in one product
 SAFE = 1e-30, 1e30  # sums of exponentials that need no scaling
 END = ""  # the token after the last word; no word is empty
@@ -56,6 +56,43 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in parts of PIECE bytes at most, or of one longer text; one part at least."""
+    ends, at = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(), dtype=np.int64), 0
+    while True:
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + PIECE, side="right")))
+        yield texts.slice(at, upto - at)
+        at = upto
+        if at >= len(texts):
+            return
+
+
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after the other, as `words_of` has them, and how many of them each text has."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    # nothing between blanks is no word; null texts have none
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(texts, ""), pa.scalar(None, texts.type), texts))
+    return lists.flatten().cast(pa.binary()), lists.value_lengths().fill_null(0).to_numpy()
+
+
+def cut(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The values in parts of the given sizes."""
+    ends = np.cumsum(sizes).tolist()
+    return [values[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def tokens_of(parts: list[pa.Array], known: pa.Array) -> list[np.ndarray]:
+    """For each part, the place of each word among the known ones, from 2 on; 1 for any other."""
+    places = pc.index_in(pa.chunked_array(parts), value_set=known)  # the known words are hashed once for all parts
+    return cut(places.fill_null(-1).to_numpy() + np.int32(2), [len(words) for words in parts])
+
+
+def strings(words: pa.Array) -> pa.Array:
+    """Words as strings, the same bytes."""
+    return words.view(pa.string())
+
+
 def sorted_places(values: np.ndarray, most: int) -> np.ndarray:
     """Places in the order of the values, which are below `most`, equal ones as they stand; 16 bits are sorted by radix."""
     return np.argsort(values.astype(np.uint16) if most <= 1 << 16 else values, kind="stable")
@@ -84,7 +121,9 @@ def row_sums(values: np.ndarray, keys: np.ndarray, most: int) -> tuple[np.ndarra
 
 def keep_memory() -> None:
     """Have the process keep the memory it frees: windows make the same arrays over and over, and fresh pages from the
-    system for each take a quarter of the time. Where the allocator has no such setting nothing changes."""
+    system for each take a quarter of the time. Arrow takes its memory from there too, so that it is kept once.
+    Where the allocator has no such setting nothing changes."""
+    pa.set_memory_pool(pa.system_memory_pool())
     try:
         setting = ctypes.CDLL(None).mallopt
     except (OSError, AttributeError):
@@ -298,8 +337,10 @@ class Recurrent:
 
     # ------------------------------------------------------------------ scoring
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.ids.get, words, repeat(1)), np.int32, len(words))
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Tokens of each text, without its end."""
+        words, sizes = zip(*map(words_in, pieces(texts)))
+        return cut(np.concatenate(tokens_of(words, pa.array(self.ids, pa.binary()))), np.concatenate(sizes))
 
     def score(self, tokens: list[np.ndarray]) -> np.ndarray:
         """log10 probability of each whole encoded text, its end included, any unknown word being the same token.
@@ -374,10 +415,10 @@ PASSED = "n long, weights binary"  # tokens read, and the weights after them
 
 
 def passes(spark: SparkSession, model: Recurrent, rate: float):
-    """Function for mapInPandas: one pass of a copy of the model over a partition's texts, all of them and whole."""
+    """Function for mapInArrow: one pass of a copy of the model over a partition's texts, all of them and whole."""
     shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_memory()
         own, moments, n = copy.deepcopy(shared.value), {}, 0
         parts, size = [], 0
@@ -390,8 +431,7 @@ def passes(spark: SparkSession, model: Recurrent, rate: float):
 
         end = np.zeros(1, np.int32)
         for batch in batches:
-            for text in batch["text"]:
-                tokens = own.encode(words_of(text))
+            for tokens in own.encode(batch["text"]):
                 parts += [tokens, end]
                 size += len(tokens) + 1
                 if size >= CHUNK:
@@ -399,7 +439,7 @@ def passes(spark: SparkSession, model: Recurrent, rate: float):
         if size:
             learn()
         if n:
-            yield pd.DataFrame({"n": [n], "weights": [own.flat().tobytes()]})
+            yield pa.RecordBatch.from_pydict({"n": [n], "weights": [own.flat().tobytes()]})
 
     return run
 
@@ -424,7 +464,7 @@ def fit_all(model: Recurrent, training: DataFrame, id_col: str, text_col: str) -
     read = 0
     for i, rate in enumerate(ROUND_RATES):
         drawn = training.filter(F.pmod(F.xxhash64(id_col), F.lit(len(ROUND_RATES))) == i)
-        copies = saved(drawn.select(F.col(text_col).alias("text")).mapInPandas(passes(training.sparkSession, model, rate), PASSED))
+        copies = saved(drawn.select(F.col(text_col).alias("text")).mapInArrow(passes(training.sparkSession, model, rate), PASSED))
         sums = copies.coalesce(SUMS).mapInPandas(_added, PASSED).collect()
         n = sum(r.n for r in sums)
         if n:
@@ -436,76 +476,80 @@ def fit_all(model: Recurrent, training: DataFrame, id_col: str, text_col: str) -
 READ = "n_tokens long, score double, n_known long, base double, outside long, outside_base double, rest array<struct<word:string,n:long>>"
 
 
+def looked_up(
+    words: pa.Array, sizes: np.ndarray, tokens: np.ndarray, logs: np.ndarray, inside: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Of each text: words not at hand, words outside the model's vocabulary, the sum of `logs` of all and of the latter,
+    and the words not at hand, each once with its number in the text. Tokens from `inside` on become 1."""
+    text_of = np.repeat(np.arange(len(sizes)), sizes)
+    by_text = lambda at, values=None: np.bincount(text_of[at], values, len(sizes))
+    unknown, beyond = np.flatnonzero(tokens == 1), np.flatnonzero(tokens >= inside)
+    rest = words.take(pa.array(unknown)).dictionary_encode()
+    different = max(len(rest.dictionary), 1)
+    pairs, times = np.unique(text_of[unknown] * different + rest.indices.to_numpy(), return_counts=True)
+    edges = np.searchsorted(pairs, np.arange(len(sizes) + 1) * different)
+    pairs = [strings(rest.dictionary.take(pa.array(pairs % different))), pa.array(times, pa.int64())]
+    pairs = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(pairs, names=["word", "n"]))
+    n_unknown, base, outside_base = by_text(unknown), by_text(slice(None), logs[tokens]), by_text(beyond, logs[tokens[beyond]])
+    tokens[beyond] = 1
+    return n_unknown, n_unknown + by_text(beyond), base, outside_base, pairs
+
+
 def reader(spark: SparkSession, model: Recurrent, frequent: dict[bytes, float], ends: float | None):
     """Column function over texts: the model's score, known words and base of those at hand, how many words are outside
     the model's vocabulary and the base of those at hand, and the words not at hand with their counts.
 
     `frequent` begins with the model's words, in its order, so one number per word serves both.
     """
-    numbers = {w: i + 2 for i, w in enumerate(frequent)}
     logs = np.array([0.0, 0.0, *frequent.values()])
-    shared = spark.sparkContext.broadcast((model, numbers, logs))
+    shared = spark.sparkContext.broadcast((model, pa.array(frequent, pa.binary()), logs))
 
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         keep_memory()
-        model, numbers, logs = shared.value
+        model, at_hand, logs = shared.value
         inside = len(model.ids) + 2
         for batch in batches:
-            out, encoded = [], []
-            rest, times, ends_at = [], [], [0]  # words not at hand of all texts of the batch, and where a text's end
-            for text in batch:
-                words = words_of(text.as_py())
-                tokens = np.fromiter(map(numbers.get, words, repeat(1)), np.int32, len(words))
-                at_hand = logs[tokens]
-                beyond = tokens >= inside
-                unknown = np.flatnonzero(tokens == 1).tolist()
-                counted = Counter([words[i] for i in unknown])
-                rest += counted.keys()
-                times += counted.values()
-                ends_at.append(len(rest))
-                known, base = (0, 0.0) if ends is None else (1, ends)
-                known += len(words) - len(unknown)
-                outside = len(unknown) + int(beyond.sum())
-                out.append((len(words) + 1, known, base + float(at_hand.sum()), outside, float(at_hand[beyond].sum())))
-                tokens[beyond] = 1
-                encoded.append(tokens)
-            n_tokens, n_known, base, outside, outside_base = zip(*out) if out else ((),) * 5
-            texts = pa.array([w.decode("utf-8", "replace") for w in rest], pa.string())
-            pairs = pa.StructArray.from_arrays([texts, pa.array(times, pa.int64())], names=["word", "n"])
-            long, double = pa.int64(), pa.float64()
+            words, sizes = zip(*map(words_in, pieces(batch)))
+            tokens = tokens_of(words, at_hand)
+            found = [looked_up(*part, logs, inside) for part in zip(words, sizes, tokens)]
+            del words
+            sizes, (n_unknown, outside, base, outside_base) = np.concatenate(sizes), map(np.concatenate, zip(*(x[:4] for x in found)))
             columns = {
-                "n_tokens": pa.array(n_tokens, long), "score": pa.array(model.score_in_steps(encoded), double),
-                "n_known": pa.array(n_known, long), "base": pa.array(base, double), "outside": pa.array(outside, long),
-                "outside_base": pa.array(outside_base, double),
-                "rest": pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), pairs),
+                "n_tokens": sizes + 1, "score": model.score_in_steps(cut(np.concatenate(tokens), sizes)),
+                "n_known": sizes - n_unknown + (ends is not None), "base": base + (ends or 0.0), "outside": outside, "outside_base": outside_base,
             }
+            columns = {k: pa.array(v, pa.float64() if v.dtype == np.float64 else pa.int64()) for k, v in columns.items()}
+            columns["rest"] = pa.concat_arrays([x[4] for x in found])
             yield pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
 
     return F.arrow_udf(read, READ)
 
 
-FLUSH = 400_000  # words a task counts before it hands them on
+FLUSH = 4_000_000  # words a task counts before it hands them on, and the last piece beyond
+HANDED = 400_000  # different words handed on at a time
 
 
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter[bytes] = Counter()
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts, size = [], 0
 
-    def handed_on() -> pd.DataFrame:
-        return pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in counts], "c": list(counts.values())})
+    def handed_on() -> list[pa.RecordBatch]:
+        words, counts = pa.chunked_array(parts).value_counts().flatten()
+        return pa.table({"word": strings(words), "c": counts}).to_batches(max_chunksize=HANDED)
 
     for batch in batches:
-        for text in batch["text"]:
-            counts.update(words_of(text))
-            if len(counts) > FLUSH:
-                yield handed_on()
-                counts.clear()
-    if counts:
-        yield handed_on()
+        for texts in pieces(batch["text"]):
+            parts.append(words_in(texts)[0])
+            size += len(parts[-1])
+            if size >= FLUSH:
+                yield from handed_on()
+                parts, size = [], 0
+    if size:
+        yield from handed_on()
 
 
 def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
     """(word, c) of all words of a table; each task adds up its own before the shuffle."""
-    counted = docs.select(F.col(text_col).alias("text")).mapInPandas(_counted, "word string, c bigint")
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(_counted, "word string, c bigint")
     return counted.groupBy("word").agg(F.sum("c").alias("c"))
 
 

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,6 +252,48 @@ def test_long_texts_are_scored_beside_each_other(monkeypatch):
     assert np.allclose(model.score_in_steps(tokens), expected) and len(steps) <= 301 + 9
 
 
+def test_words_are_cut_a_batch_at_a_time(spark, monkeypatch):
+    """Tasks go through no text word by word, and find the words that `words_of` finds in each."""
+    rnd = random.Random(3)
+    chars = [*map(chr, range(64)), *"AZaz", "\x85", "\xa0", "\xc9", "\u0130", "\u2003", "\u212a", "\U0001f600"]
+    texts = [None, "", " \t\n", "a", *("".join(rnd.choices(chars, k=rnd.randrange(30))) for _ in range(2_000)), "b a a b c c c"]
+    expected = [language_model.words_of(t) for t in texts]
+    counts = Counter(w for words in expected for w in words)
+    known = [w for w, _ in counts.most_common(60)]
+    model = language_model.Recurrent(known[:20])
+    monkeypatch.setattr(language_model, "words_of", None)
+    monkeypatch.setattr(language_model, "PIECE", 200)
+    parts = list(language_model.pieces(pa.array(texts)))
+    assert [t for part in parts for t in part.to_pylist()] == texts and len(parts) > 100
+    assert all(len(part) == 1 or sum(len((t or "").encode()) for t in part.to_pylist()) <= 200 for part in parts)
+    assert [len(part) for kind in ([], [None], ["", "x" * 300, "y"]) for part in language_model.pieces(pa.array(kind, pa.string()))] == [0, 1, 1, 1, 1]
+    for kind in (pa.string(), pa.large_string()):
+        words, sizes = language_model.words_in(pa.array([None, *texts], kind).slice(1))
+        assert words.to_pylist() == [w for words in expected for w in words] and sizes.tolist() == [len(words) for words in expected]
+    halves = [pa.RecordBatch.from_pydict({"text": texts[i::2]}) for i in range(2)]
+    (counted,) = language_model._counted(iter(halves))
+    assert {r["word"].encode(): r["c"] for r in counted.to_pylist()} == counts and counted.num_rows == len(counts)
+    monkeypatch.setattr(language_model, "FLUSH", 500)
+    monkeypatch.setattr(language_model, "HANDED", 90)
+    counted, added = list(language_model._counted(iter(halves))), Counter()
+    for r in (r for part in counted for r in part.to_pylist()):
+        added[r["word"].encode()] += r["c"]
+    assert added == counts and len(counted) > 5 and max(part.num_rows for part in counted) <= 90
+    tokens = model.encode(pa.array(texts))
+    assert [t.tolist() for t in tokens] == [[model.ids.get(w, 1) for w in words] for words in expected]
+    logs = {w: -1.0 - i for i, w in enumerate(known)}
+    (read,) = language_model.reader(spark, model, logs, -0.5).func(iter([pa.array([t or "" for t in texts])]))
+    scores = model.score_in_steps(tokens)
+    assert len(read) == len(texts)
+    for r, words, score in zip(read.to_pylist(), expected, scores):
+        outside = [w for w in words if w not in known[:20]]
+        rest = Counter(w for w in words if w not in known)
+        assert (r["n_tokens"], r["outside"], r["n_known"]) == (len(words) + 1, len(outside), len(words) + 1 - sum(rest.values()))
+        assert {x["word"].encode(): x["n"] for x in r["rest"]} == rest and len(r["rest"]) == len(rest)
+        assert np.isclose(r["base"], sum(logs.get(w, 0) for w in words) - 0.5) and np.isclose(r["score"], score)
+        assert np.isclose(r["outside_base"], sum(logs.get(w, 0) for w in outside))
+
+
 def test_rows_added_up_by_key():
     draw = np.random.default_rng(5)
     for keys in (np.minimum(draw.geometric(0.02, 3_000), 299), np.zeros(40, int), np.arange(50), np.zeros(0, int)):
