@@ -2,8 +2,11 @@
 
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
+from __spark_entry__ import ORACLE, QUERIES
+from checks.compare import difference
 from martloom.ingest import entities
 from martloom.operators import sketches
 from martloom.operators.skew import SALT, hot_keys, spread_hot_keys
@@ -77,3 +80,33 @@ def test_hot_keys_without_a_second_look(spark):
     joined = left.join(right, ["k", SALT])
     assert rows(joined.groupBy("k").count()) == [("hot", 3_000), ("k1", 1), ("warm", 1_200)]
     assert joined.filter("k = 'hot'").select(SALT).distinct().count() == 6 and right.count() == 6 + 3 + 1
+
+
+def test_every_key_counts_however_many(spark, tmp_path):
+    """More keys than the lists of the days keep: no count is lost, also from summaries that were stored; null is a key."""
+    k = F.when(F.col("id") % 1_000 == 7, None).when(F.col("id") % 10 == 0, 5).otherwise(F.col("id") % 25_000)
+    facts = spark.range(60_000).select(F.expr("date_add(date'2024-01-01', int(id % 3))").alias("day"), F.col("id").alias("v"), k.alias("k"))
+    days = sketches.day_summaries(facts.repartition(6), "day", "v", "k")
+    days.write.parquet(f"{tmp_path}/days")
+    stored = spark.read.parquet(f"{tmp_path}/days")
+    want = rows(facts.groupBy("k").count())
+    assert len(want) > 2 * sketches.TRACKED
+    for kept in (days, stored):
+        assert rows(sketches.heavy_keys(kept, "k", 60_000)) == want
+        assert [tuple(r) for r in sketches.heavy_keys(kept, "k", 3).collect()] == [(5, 6_003), (None, 60), (1, 3)]
+        assert rows(sketches.hot_from_summaries(kept, "k", 40)) == [(5, 5)]
+        assert sketches.merged_quantiles(kept, [F.month("day")], [0.5], ["mid"]).first().n == 60_000
+    assert sketches.heavy_keys(stored.limit(0), "k").isEmpty() and sketches.hot_from_summaries(stored.limit(0), "k", 40).isEmpty()
+
+
+def test_heavy_suppliers_are_all_there(spark, tmp_path):
+    """More suppliers than a list of a day keeps, most of them on one day each."""
+    lines = spark.range(50_000).select(
+        (F.col("id") % 30_000).alias("l_suppkey"), F.col("id").cast("double").alias("l_quantity"),
+        F.expr("timestamp_ntz'1996-01-01 00:00:00' + make_interval(0, 0, 0, int(id % 4))").alias("l_shipdate"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    con, name = duckdb.connect(), "heavy_suppliers_from_sketches"
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    found = QUERIES[name](spark, str(tmp_path))
+    assert found.count() == 20_000 and difference(found, con, ORACLE[name]) is None
